@@ -13,7 +13,9 @@ _MODULES = {
     "op2_decontamination": "decontaminate",
     "op3_packing": "packing",
     "op4_token_counts": "token_counts",
+    "op5_toxicity": "toxicity",
     "op6_sharding": "sharding",
+    "op7_html_extraction": "html_extraction",
     "op8_quality_rules": "quality_rules",
 }
 
