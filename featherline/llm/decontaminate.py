@@ -160,6 +160,14 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     return out.select("rid", "doc_id", "n_words", n.alias("n_hit"), F.size(items_).cast("long").alias("n_items"), items_.alias("items"), (n > 0).alias("contaminated"))
 
 
+def keep_uncontaminated(docs: DataFrame, items: DataFrame, *, text: str = "text", **options) -> DataFrame:
+    """Rows of docs, with all their columns, that hold no window of an item. Texts are told apart by 64-bit hashes."""
+    found = contamination(docs.select(F.xxhash64(text).alias("doc_id"), F.col(text).alias("text")), items, **options).filter("contaminated")
+    found = materialize(found.select(F.col("doc_id").alias("_text_hash")).distinct(), "contaminated")
+    few = found.count() <= MOST_SENT
+    return docs.withColumn("_text_hash", F.xxhash64(text)).join(F.broadcast(found) if few else found, "_text_hash", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")

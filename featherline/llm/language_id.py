@@ -152,6 +152,21 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: tuple[st
     return docs.select(*keep, F.col(text)).mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, model: Model, *, text: str = "text", least: float = 0.4) -> DataFrame:
+    """Rows of docs, with all their columns, whose text has letters and a language of at least that score. A model without languages keeps all texts with letters."""
+    model_, at = model, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x in b.column(at):
+                lang, p = model_.predict(x.as_py())
+                keep.append(lang != "und" and p >= least if model_.langs else len(grams(x.as_py())) > 0)
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold(F.col("doc_id"), 4) == 2).alias("held_out"))
     model = fit(docs.filter(~F.col("held_out")))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featherline.llm.common import materialize, row_ids, table
@@ -87,7 +87,7 @@ def components(edges: DataFrame, name: str, most_rounds: int = 30) -> DataFrame:
 
 
 def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16, deepest: int = 8, recall: float = 0.995, block: int = 256, prune: float = 0.2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row with its class of similar texts: rid, doc_id, rep (its text's representative), class_id, class_size, n_copies, n_links.
+    """Every row with its class of similar texts: rid, doc_id, th (hash of its text), root (of its class), rep (its text's representative), class_id, class_size, n_copies, n_links.
 
     Texts with the same set of word n-grams are one text, held by the row of least rid. Representatives enter the forest; the
     prefixes of its sorted tries are shortened until pairs at the threshold meet with the target recall. In each bucket all
@@ -108,9 +108,9 @@ def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16
         sent: set[bytes] = set()
         for b in batches:
             rows = []
-            for key, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for key, x, th in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 sh = shingles(x.as_py(), seen, n)
-                row = {"rid": next(ids), "doc_id": key, "digest": None, "sig": None, "sh": None}
+                row = {"rid": next(ids), "doc_id": key, "th": th, "digest": None, "sig": None, "sh": None}
                 if len(sh):
                     row["digest"] = xxhash.xxh3_128_digest(sh.tobytes())
                     if row["digest"] not in sent:  # one of the equal ones of a task is enough
@@ -123,8 +123,8 @@ def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16
                     rows = []
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()), ("sh", pa.binary())])
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(describe, "rid long, doc_id long, digest binary, sig binary, sh binary")
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()), ("sh", pa.binary())])
+    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th")).mapInArrow(describe, "rid long, doc_id long, th long, digest binary, sig binary, sh binary")
     base = materialize(base, "forest-rows")
     texts = base.filter("digest is not null").groupBy("digest").agg(F.min(F.when(F.col("sig").isNotNull(), F.col("rid"))).alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"))
     texts = materialize(texts, "forest-texts")
@@ -186,9 +186,9 @@ def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16
     of_text = texts.join(roots.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     of_text = materialize(of_text.join(counted.toDF("rep", "n_links"), "rep", "left").select("digest", "rep", "root", "copies", "least_doc", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "forest-of-text")
     classes = of_text.groupBy("root").agg(F.min("least_doc").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_text = of_text.join(classes, "root").select("digest", "rep", "class_id", "class_size", (F.col("copies") - 1).alias("n_copies"), "n_links")
-    rows = base.select("rid", "doc_id", "digest").join(of_text, "digest", "left")
-    return rows.select("rid", "doc_id", F.coalesce("rep", "rid").alias("rep"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce("n_copies", F.lit(0)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    of_text = of_text.join(classes, "root").select("digest", "rep", "root", "class_id", "class_size", (F.col("copies") - 1).alias("n_copies"), "n_links")
+    rows = base.select("rid", "doc_id", "th", "digest").join(of_text, "digest", "left")
+    return rows.select("rid", "doc_id", "th", F.coalesce("rep", "rid").alias("rep"), F.coalesce("root", "rid").alias("root"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce("n_copies", F.lit(0)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def _links(members: DataFrame, threshold: float, block: int) -> DataFrame:
@@ -247,5 +247,20 @@ def _links(members: DataFrame, threshold: float, block: int) -> DataFrame:
     return cut.mapInArrow(count, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n_links"))
 
 
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Rows of docs, with all their columns, one of each class: that of the least doc_id (null first), all others go."""
+    rows = materialize(join(docs, doc_id=doc_id, text=text, **options).select("rid", "doc_id", "th", "root"), "near-classes")
+    best = rows.groupBy("root").agg(F.min(F.struct("doc_id", "th", "rid")).alias("best")).select("best.*")
+    key = [F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")), F.xxhash64(text) == F.col("_th")]
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if not rows.groupBy("doc_id", "th").count().filter("count > 1").take(1):  # then ids and texts name rows
+        gone = materialize(rows.join(best.select("rid"), "rid", "left_anti").select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")), "near-copies")
+        few = gone.count() <= MOST_SENT
+        return docs.join(F.broadcast(gone) if few else gone, key, "left_anti").select(*columns)
+    first = Window.partitionBy(F.col(doc_id), F.xxhash64(text)).orderBy(F.lit(0))
+    kept = docs.join(best.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")), key, "left_semi")
+    return kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*columns)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_copies", "n_links")

@@ -17,6 +17,7 @@ _MODULES = {
     "op6_sharding": "sharding",
     "op7_html_extraction": "html_extraction",
     "op8_quality_rules": "quality_rules",
+    "op9_lm_scoring": "katz",
     "op10_jaccard_join": "lsh_forest",
 }
 

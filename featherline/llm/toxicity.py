@@ -239,6 +239,27 @@ def score(docs: DataFrame, index: Index, *, text: str = "text", keep: tuple[str,
     return docs.select(*keep, F.col(text)).mapInArrow(run, schema)
 
 
+def keep_clean(docs: DataFrame, index: Index, *, text: str = "text", threshold: float = 0.3) -> DataFrame:
+    """Rows of docs, with all their columns, whose text scores below the threshold."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, known = Matcher(index.terms), {}
+        for b in batches:
+            keep = []
+            for x in b.column(at):
+                c = m.counts(x.as_py())
+                key = tuple(sorted(c.items()))
+                if key not in known:
+                    if len(known) >= 100_000:
+                        known.clear()
+                    known[key] = index.score(c)[0] < threshold
+                keep.append(known[key])
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of documents outside fold 2 that have a label; a document labelled twice counts as toxic if either label says so."""
     one = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
