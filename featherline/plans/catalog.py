@@ -22,9 +22,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _define() -> None:
+    from featherline.plans import definitions, models  # noqa: F401  they register
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _define()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _define()
     return dict(_SQL)
