@@ -15,7 +15,7 @@ def correlation(x: Column, y: Column, least: int = 3, degenerate: float | None =
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x), F.when(both, y)
     ok = (F.count(a) >= least) & (F.stddev_pop(a) > 0) & (F.stddev_pop(b) > 0)
-    return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.corr(a, b)))).otherwise(F.lit(degenerate).cast("double"))
+    return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))))).otherwise(F.lit(degenerate).cast("double"))
 
 
 def correlation_matrix(df: DataFrame, features: list[str], least: int = 3) -> DataFrame:
@@ -65,9 +65,10 @@ def fisher_mean(r: Column) -> Column:
 
 
 def trend(df: DataFrame, x: str, y: str, by: list[str], least: int = 3) -> DataFrame:
-    """Least-squares line of y over x by group, with its ends."""
+    """Least-squares line of y over x by group, with its ends; flat where x is constant."""
     x_, y_ = F.col(x).cast("double"), F.col(y).cast("double")
-    g = df.filter(x_.isNotNull() & y_.isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.regr_slope(y_, x_).alias("slope"), F.regr_intercept(y_, x_).alias("intercept"), F.min(x_).alias("x0"), F.max(x_).alias("x1"))
+    g = df.filter(x_.isNotNull() & y_.isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.try_divide(F.covar_pop(x_, y_), F.var_pop(x_)), F.lit(0.0)).alias("slope"), F.avg(x_).alias("mx"), F.avg(y_).alias("my"), F.min(x_).alias("x0"), F.max(x_).alias("x1"))
+    g = g.withColumn("intercept", F.col("my") - F.col("slope") * F.col("mx")).drop("mx", "my")
     return g.filter(F.col("n") >= least).withColumns({"y0": F.col("intercept") + F.col("slope") * F.col("x0"), "y1": F.col("intercept") + F.col("slope") * F.col("x1")})
 
 
