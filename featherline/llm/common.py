@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -39,6 +40,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to any more; it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _clean() -> None:
     for spark, path in _WRITTEN:
         try:

@@ -68,13 +68,13 @@ def winnow(grams: np.ndarray, w: int) -> np.ndarray:
 def _marks(own: list[bytes], h: np.ndarray, k: int, window: int, short: list[int], sent: np.ndarray | None) -> list[dict]:
     """The fingerprints of a text with the words around them: of winnowing, and of each length of short items."""
     out = []
-    for size in [k, *short]:
+    for size, every in [(k, False), *((n, True) for n in short)]:
         g = gram_hashes(h, size)
-        at = winnow(g, window - k + 1) if size == k else np.arange(len(g))
+        at = np.arange(len(g)) if every else winnow(g, window - k + 1)
         if sent is not None and len(at):
             found = np.minimum(np.searchsorted(sent, g[at]), len(sent) - 1) if len(sent) else None
             at = at[sent[found] == g[at]] if found is not None else at[:0]
-        reach = window - k if size == k else 0
+        reach = 0 if every else window - k
         for p in at.tolist():
             out.append({"size": size, "h": int(g[p].view(np.int64)), "pos": p, "gram": b" ".join(own[p : p + size]), "left": own[max(0, p - reach) : p][::-1], "right": own[p + size : p + size + reach]})
     return out

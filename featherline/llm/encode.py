@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -21,12 +23,10 @@ class Encoder(dict):
     may be cut there and each part encoded alone. Texts with other spaces are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 700_000):
-        import regex
+    def __init__(self, path: str, most: int = 1_000_000):
         import tiktoken
 
-        self.most, self.split = most, regex.compile(PATTERN).findall
-        self.pieces: dict[str, list[int]] = {}
+        self.most = most
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         byte = {c: b for b, c in enumerate(_byte_chars())}
@@ -48,17 +48,10 @@ class Encoder(dict):
 
     def whole(self, text: str) -> bytes:
         """The ids, as little-endian 32-bit numbers, of a text or of a part that may stand alone."""
-        if len(text) > 200:
-            return self.bpe.encode_to_numpy(text, disallowed_special=()).tobytes()
-        out = []
-        for piece in self.split(text):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                if len(self.pieces) >= self.most:
-                    self.pieces.clear()
-                ids = self.pieces[piece] = np.array(self.bpe.encode_ordinary(piece), "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+        ids = array("I", self.bpe.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
@@ -67,7 +60,7 @@ class Encoder(dict):
         try:
             return np.frombuffer(self.whole(first) + b"".join(map(self.__getitem__, parts)), "<u4")
         except _Spaces:
-            return np.array(self.bpe.encode_ordinary(text), np.uint32)
+            return np.frombuffer(self.whole(text), "<u4")
 
 
 def _byte_chars() -> list[str]:

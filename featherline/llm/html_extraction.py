@@ -247,7 +247,7 @@ def main_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", h
     if winners.count() <= most_hosts:
         rows = rows.join(F.broadcast(winners), "host", "left")
     else:
-        rows = rows.withColumn("s", F.pmod(F.xxhash64("page_id", "url"), F.lit(salt))).join(winners.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).cast("long")), ["host", "s"], "left")
+        rows = rows.withColumn("s", F.pmod(F.xxhash64("page_id", "url"), F.lit(salt))).join(winners.withColumn("s", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salt)]))), ["host", "s"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

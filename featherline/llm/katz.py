@@ -20,11 +20,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import fold, materialize, row_ids, table
+from featherline.llm.common import fold, materialize, release, row_ids, table
 
 #: Not words, as they hold a space.
 END, BEGIN = b" end", b" begin"
 K = 5  # counts above K are not discounted
+LARGE = 1 << 18  # a history of fewer training tokens stays in one partition
 W40 = np.uint64((1 << 40) - 1)
 _NAMES = ["h", "hc", "hl", "wl", "wh", "cw", "tc", "oc", "dx"]
 
@@ -222,11 +223,15 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
             told.append({"bid": -1, "part": rows[0]["part"], "n": None, "total": int(seen.sum()), "types": len(seen), "of": np.bincount(np.minimum(seen, K + 2), minlength=K + 3).tolist()})
             yield pa.RecordBatch.from_pylist(told, pa.schema([("bid", pa.int64()), ("part", pa.int32()), ("n", pa.binary()), ("total", pa.int64()), ("types", pa.int64()), ("of", pa.list_(pa.int64()))]))
 
-    asked = base.select("bid", "held", "sizes", "vocab", "low", "high", F.array().cast("array<long>").alias("keys")).mapInArrow(ask, "part int, bid long, words binary, n binary")
-    heard = materialize(asked.repartitionById(parts, "part").sortWithinPartitions("part", "bid").mapInArrow(total, "bid long, part int, n binary, total long, types long, of array<long>"), "word-counts")
+    def hear() -> DataFrame:
+        asked = base.select("bid", "held", "sizes", "vocab", "low", "high", F.array().cast("array<long>").alias("keys")).mapInArrow(ask, "part int, bid long, words binary, n binary")
+        return materialize(asked.repartitionById(parts, "part").sortWithinPartitions("part", "bid").mapInArrow(total, "bid long, part int, n binary, total long, types long, of array<long>"), "word-counts")
+
+    heard = hear()
+    release(spark)
     sums = heard.filter("bid = -1").agg(F.sum("total").alias("total"), F.sum("types").alias("types"), *[F.sum(F.get("of", F.lit(i))).alias(f"n{i}") for i in range(1, K + 2)]).first()
     uni = Unigrams.of(sums.total or 0, sums.types or 0, {i: sums[f"n{i}"] or 0 for i in range(1, K + 2)})
-    large = max(1 << 18, uni.total // 20_000)  # histories of so many tokens are split; there are 20,000 at most
+    large = max(LARGE, uni.total // 20_000)  # histories of so many tokens are split; there are 20,000 at most
     begin = np.uint64(_hash(BEGIN))
     n_begin = base.select("held").mapInArrow(_count_train, "n long").agg(F.sum("n")).first()[0] or 0
 

@@ -139,7 +139,7 @@ def shard(docs: DataFrame, *, shards: int = 40, text: str = "text", nominal: tup
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     dims = ["bytes", *[f"c{i}" for i in range(len(nominal))]]
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.xxhash64(body).alias("g"), *[_code(F.col(c)).alias(f"c{i}") for i, c in enumerate(nominal)])
-    base = materialize(base.withColumn("bytes", F.col("size")).withColumn("own", F.shiftrightunsigned(F.xxhash64("doc_id", "g"), 3)), "shard-docs")
+    base = materialize(base.withColumn("bytes", F.col("size")).withColumn("own", F.shiftrightunsigned(F.xxhash64("doc_id", "g", F.monotonically_increasing_id()), 3)), "shard-docs")
     total = base.agg(F.sum("size")).first()[0] or 0
     codes = dims[1:]
     grouped = base.groupBy("g").agg(F.sum("size").alias("w"), F.min("bytes").alias("bytes"), *[F.min(c).alias(c) for c in codes])
@@ -158,7 +158,7 @@ def shard(docs: DataFrame, *, shards: int = 40, text: str = "text", nominal: tup
     placed = materialize(placed.withColumn("part", F.pmod(F.col("own"), F.lit(salt)).cast("int")), "shard-placed")
     counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
-    within = placed.withColumn("i", F.row_number().over(Window.partitionBy("shard", "part").orderBy("own", "doc_id")))
+    within = placed.withColumn("i", F.row_number().over(Window.partitionBy("shard", "part").orderBy("own")))
     out = within.join(F.broadcast(before), ["shard", "part"])  # at most shards x salt rows
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("i") - 1 + F.col("before")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
