@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -336,12 +337,17 @@ def brute_katz(rows):
     def p1(w):
         return float(uni.p(np.array([c1[w]]))[0])
 
-    def p2(h, w):
+    @cache
+    def of(h):
         n = sum(c2[h, v] for v in after[h])
+        left = sum(c2[h, v] * (1 - d[c2[h, v]]) for v in after[h] if c2[h, v] <= katz.K)
+        return n, *(float(x[0]) for x in katz.weights(np.array([n]), np.array([left]), np.array([sum(map(p1, after[h]))])))
+
+    @cache
+    def p2(h, w):
+        n, scale, back = of(h)
         if not n:
             return p1(w)
-        left = sum(c2[h, v] * (1 - d[c2[h, v]]) for v in after[h] if c2[h, v] <= katz.K)
-        scale, back = (float(x[0]) for x in katz.weights(np.array([n]), np.array([left]), np.array([sum(map(p1, after[h]))])))
         c = c2[h, w]
         return c * (d[c] if c <= katz.K else 1) * scale / n if c else back * p1(w)
 
