@@ -90,12 +90,13 @@ def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16
     """Every row with its class of similar texts: rid, doc_id, th (hash of its text), root (of its class), rep (its text's representative), class_id, class_size, n_copies, n_links.
 
     Texts with the same set of word n-grams are one text, held by the row of least rid. Representatives enter the forest; the
-    prefixes of its sorted tries are shortened until pairs at the threshold meet with the target recall. In each bucket all
-    are compared with the least member first; verified links make classes, and every pair of a bucket that these have not
-    joined is compared then, so within classes already joined no pairs are spelled out and no candidate is lost. Each
-    comparison is exact (after a bound from signatures whose error `prune` is five standard deviations at least). n_links
-    is the number of other texts at or above the threshold in the class, counted exactly, in blocks of `block` texts, without
-    making the pairs; n_copies that of other rows with the same n-grams. class_id is the least doc_id of the class.
+    prefixes of its sorted tries are shortened until pairs at the threshold meet with the target recall. Buckets, each by a
+    star to its least member, connect texts to groups, and the texts of a group are compared with one another: in blocks of
+    `block` texts, a pair of blocks at a time, so that large groups spread over tasks; copies are one text, so they make no pairs.
+    Signatures rule pairs out first, at least `prune` (over five standard deviations) below the threshold; what is left is
+    compared exactly. Out of a block come counts and the links of a spanning forest, not all pairs. Links make classes. n_links
+    is the number of other texts at or above the threshold, counted exactly over the group; n_copies that of other rows
+    with the same n-grams. class_id is the least doc_id of the class.
 
     Rows without words are alone in their class. Texts of fewer than n words are one n-gram. Null ids and repeated rows are
     rows of their own; an empty table gives no rows.
@@ -110,79 +111,41 @@ def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16
             rows = []
             for key, x, th in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 sh = shingles(x.as_py(), seen, n)
-                row = {"rid": next(ids), "doc_id": key, "th": th, "digest": None, "sig": None, "sh": None}
+                row = {"rid": next(ids), "doc_id": key, "th": th, "digest": None, "keys": None, "code": None, "sh": None}
                 if len(sh):
                     row["digest"] = xxhash.xxh3_128_digest(sh.tobytes())
                     if row["digest"] not in sent:  # one of the equal ones of a task is enough
                         if len(sent) < 500_000:
                             sent.add(row["digest"])
-                        row["sig"], row["sh"] = forest.signature(sh).tobytes(), sh.tobytes()
+                        sig = forest.signature(sh)
+                        row |= {"keys": forest.prefixes(sig, depth), "code": sig.astype(np.uint8).tobytes(), "sh": sh.tobytes()}
                 rows.append(row)
                 if len(rows) >= 500:
                     yield pa.RecordBatch.from_pylist(rows, schema)
                     rows = []
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()), ("sh", pa.binary())])
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th")).mapInArrow(describe, "rid long, doc_id long, th long, digest binary, sig binary, sh binary")
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())), ("code", pa.binary()), ("sh", pa.binary())])
+    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th")).mapInArrow(describe, "rid long, doc_id long, th long, digest binary, keys array<long>, code binary, sh binary")
     base = materialize(base, "forest-rows")
-    texts = base.filter("digest is not null").groupBy("digest").agg(F.min(F.when(F.col("sig").isNotNull(), F.col("rid"))).alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"))
+    texts = base.filter("digest is not null").groupBy("digest").agg(F.min(F.when(F.col("code").isNotNull(), F.col("rid"))).alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"))
     texts = materialize(texts, "forest-texts")
-    reps = base.filter("sig is not null").join(texts.select(F.col("rep").alias("rid")), "rid", "left_semi")
-
     # buckets of the forest at the chosen depth; only those that two texts share
-    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = [forest.prefixes(np.frombuffer(x.as_py(), np.uint32), depth) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), trees), pa.int64()), pa.array([k for ks in keys for k in ks], pa.int64())], names=["rid", "bucket"])
-
-    planted = reps.select("rid", "sig").mapInArrow(plant, "rid long, bucket long")
-    pivots = planted.groupBy("bucket").agg(F.min("rid").alias("pivot"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = materialize(planted.join(pivots, "bucket"), "forest-buckets")
+    planted = base.filter("code is not null").select("rid", "keys").join(texts.select(F.col("rep").alias("rid")), "rid", "left_semi").select("rid", F.explode("keys").alias("bucket"))
+    sizes = planted.groupBy("bucket").agg(F.min("rid").alias("pivot"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    shared = materialize(planted.join(sizes.select("bucket", "pivot"), "bucket"), "forest-buckets")
 
     # representatives that share a bucket, with what is needed to compare them
     within = shared.select("rid").distinct()
     few = within.count() <= MOST_SENT
-    sets = materialize(base.filter("sig is not null").join(F.broadcast(within) if few else within, "rid").select("rid", "sig", "sh"), "forest-sets")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) at or above the threshold. Signatures go first, so sets travel for likely pairs only."""
-        sig = sets.select("rid", "sig")
-        likely = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").mapInArrow(likely_pairs, "a long, b long")
-        likely = materialize(likely, f"{name}-likely")
-        sh = sets.select("rid", "sh")
-        return materialize(likely.join(sh.toDF("a", "sa"), "a").join(sh.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(same, "a long, b long"), f"{name}-links")
-
-    def likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            names = b.schema.names
-            sa, sb = b.column(names.index("sa")), b.column(names.index("sb"))
-            keep = [bool((np.frombuffer(x.as_py(), np.uint32) == np.frombuffer(y.as_py(), np.uint32)).mean() >= threshold - prune) for x, y in zip(sa, sb, strict=True)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = _intersections(x, y)
-                keep.append(both >= threshold * (len(x) + len(y) - both) - 1e-9)
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    stars = shared.filter("rid <> pivot").select(F.col("pivot").alias("a"), F.col("rid").alias("b")).distinct()
-    links = verified(stars, "star")
-    first = components(links, "first")
-
-    # what is left: pairs of a bucket whose texts aren't in one class yet
-    placed = shared.select("bucket", "rid").join(first.toDF("rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    placed = materialize(placed.join(mixed, "bucket"), "forest-mixed")
-    x, y = placed.toDF("bucket", "a", "ra"), placed.toDF("bucket", "b", "rb")
-    cross = x.join(y, "bucket").filter("a < b and ra <> rb").select("a", "b").distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = verified(cross, "cross")
-    roots = materialize(components(links.union(more), "classes"), "forest-classes")
-
-    counted = _links(sets.select("rid", "sh").join(roots.toDF("rid", "root"), "rid"), threshold, block)
+    sets = materialize(base.filter("code is not null").join(F.broadcast(within) if few else within, "rid").select("rid", "code", "sh"), "forest-sets")
+
+    # texts that buckets connect are compared in blocks; only counts and the links of a spanning forest come out
+    stars = shared.filter("rid <> pivot").select(F.col("pivot").alias("a"), F.col("rid").alias("b"))
+    groups = components(stars, "groups")
+    compared = materialize(_compare(sets.join(groups.toDF("rid", "root"), "rid"), threshold, prune, block), "forest-compared")
+    roots = materialize(components(compared.filter("n is null").select("a", "b"), "classes"), "forest-classes")
+    counted = compared.filter("n is not null").groupBy("a").agg(F.sum("n").alias("n_links"))
     of_text = texts.join(roots.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     of_text = materialize(of_text.join(counted.toDF("rep", "n_links"), "rep", "left").select("digest", "rep", "root", "copies", "least_doc", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "forest-of-text")
     classes = of_text.groupBy("root").agg(F.min("least_doc").alias("class_id"), F.sum("copies").alias("class_size"))
@@ -191,47 +154,74 @@ def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16
     return rows.select("rid", "doc_id", "th", F.coalesce("rep", "rid").alias("rep"), F.coalesce("root", "rid").alias("root"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce("n_copies", F.lit(0)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _links(members: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(rid, n_links): for texts (rid, root, sh) the number of others with the same root at or above the threshold.
-
-    A class of more than `block` texts is cut into parts, each pair of parts is a task's work of its own; only counts come out.
-    """
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("m")).select("root", F.ceil(F.col("m") / block).cast("int").alias("parts"))
+def _forest(pairs: np.ndarray, m: int) -> list[tuple[int, int]]:
+    """The pairs that connect something new, in order."""
+    root = list(range(m))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out = []
+    for i, j in pairs.tolist():
+        a, b = top(i), top(j)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((i, j))
+    return out
+
+
+def _linked(sets: list[np.ndarray], codes: np.ndarray, across: np.ndarray | None, threshold: float, prune: float) -> np.ndarray:
+    """Pairs (i < j) of sets at or above the threshold; across: sides, of which a pair takes one each."""
+    m = len(sets)
+    likely = []
+    for i in range(m - 1):
+        near = (codes[i + 1 :] == codes[i]).mean(1) >= threshold - prune
+        if across is not None:
+            near &= across[i + 1 :] != across[i]
+        likely.append(np.stack([np.full(int(near.sum()), i), np.flatnonzero(near) + i + 1], 1))
+    pairs = np.concatenate(likely) if likely else np.empty((0, 2), int)
+    size = np.array([len(s) for s in sets])
+    if len(pairs) <= 8 * m:
+        both = np.array([_intersections(sets[i], sets[j]) for i, j in pairs.tolist()], int)
+    else:  # by matrix products over the n-grams that two sets at least share
+        _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(m), size)
+        keep = np.bincount(ids)[ids] > 1
+        ids, column = owner[keep], np.unique(ids[keep], return_inverse=True)[1]
+        product = np.zeros((m, m), np.float32)
+        for a in range(0, int(column.max(initial=-1)) + 1, 4096):
+            at = (column >= a) & (column < a + 4096)
+            x = np.zeros((m, 4096), np.float32)
+            x[ids[at], column[at] - a] = 1
+            product += x @ x.T
+        both = product[pairs[:, 0], pairs[:, 1]].astype(int)
+    return pairs[both >= threshold * (size[pairs[:, 0]] + size[pairs[:, 1]] - both) - 1e-9]
+
+
+def _compare(members: DataFrame, threshold: float, prune: float, block: int) -> DataFrame:
+    """For texts (rid, code, sh, root): (a, null, n), how many others of the root are linked to a, by parts; (a, b, null), links that connect."""
+    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     cut = members.join(sizes, "root").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    cut = cut.select("root", "rid", "sh", "part", other).select("root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "rid", "sh")
-    cut = cut.repartition(F.col("root"), F.col("p"), F.col("q")).sortWithinPartitions("root", "p", "q", "part", "rid")
+    cut = cut.select("root", "rid", "code", "sh", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    cut = cut.select("root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "rid", "code", "sh")
+    cut = cut.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q", "part", "rid")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def done() -> pa.RecordBatch:
-            sets = [np.frombuffer(s, np.uint64) for _, _, s in held]
-            part = np.array([h[0] for h in held])
-            _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            order = np.argsort(ids, kind="stable")
-            ids, owner = ids[order], owner[order]
-            counts = np.bincount(ids)
-            common = counts[ids] > 1
-            ids, owner = ids[common], owner[common]
-            m = len(sets)
-            both = np.zeros((m, m), np.float32)
-            if len(ids):
-                edge = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-                column = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(ids))))
-                for a in range(0, len(edge), 4096):
-                    at = (column >= a) & (column < a + 4096)
-                    x = np.zeros((m, min(4096, len(edge) - a)), np.float32)
-                    x[owner[at], column[at] - a] = 1
-                    both += x @ x.T
-            size_ = np.array([len(s) for s in sets], np.float32)
-            linked = both >= threshold * (size_[:, None] + size_[None] - both) - 1e-4
-            np.fill_diagonal(linked, False)
-            p, q = key[1:]
-            if p != q:
-                linked &= part[:, None] != part[None]
-            return pa.record_batch({"rid": np.array([h[1] for h in held], np.int64), "n": linked.sum(1).astype(np.int64)})
+            side = np.array([h[0] for h in held])
+            rid = np.array([h[1] for h in held], np.int64)
+            codes = np.stack([np.frombuffer(h[2], np.uint8) for h in held])
+            pairs = _linked([np.frombuffer(h[3], np.uint64) for h in held], codes, side if key[1] != key[2] else None, threshold, prune)
+            n = np.bincount(pairs.ravel(), minlength=len(held))
+            links = _forest(pairs, len(held))
+            a = np.concatenate([rid, rid[[i for i, _ in links]]])
+            b = [None] * len(rid) + rid[[j for _, j in links]].tolist()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int64()), pa.array(n.tolist() + [None] * len(links), pa.int64())], names=["a", "b", "n"])
 
         for b in batches:
             root, p, q, part, rid = (b.column(i).to_pylist() for i in range(5))
@@ -240,11 +230,11 @@ def _links(members: DataFrame, threshold: float, block: int) -> DataFrame:
                     if held:
                         yield done()
                     key, held = (root[i], p[i], q[i]), []
-                held.append((part[i], rid[i], b.column(5)[i].as_py()))
+                held.append((part[i], rid[i], b.column(5)[i].as_py(), b.column(6)[i].as_py()))
         if held:
             yield done()
 
-    return cut.mapInArrow(count, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n_links"))
+    return cut.mapInArrow(run, "a long, b long, n long")
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
