@@ -86,13 +86,13 @@ def components(edges: DataFrame, name: str, most_rounds: int = 30) -> DataFrame:
     raise RuntimeError("edges are left after the last round")
 
 
-def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16, deepest: int = 8, recall: float = 0.995, block: int = 256, prune: float = 0.2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16, deepest: int = 8, recall: float = 0.995, block: int = 1024, prune: float = 0.2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with its class of similar texts: rid, doc_id, th (hash of its text), root (of its class), rep (its text's representative), class_id, class_size, n_copies, n_links.
 
     Texts with the same set of word n-grams are one text, held by the row of least rid. Representatives enter the forest; the
     prefixes of its sorted tries are shortened until pairs at the threshold meet with the target recall. Buckets, each by a
     star to its least member, connect texts to groups, and the texts of a group are compared with one another: in blocks of
-    `block` texts, a pair of blocks at a time, so that large groups spread over tasks; copies are one text, so they make no pairs.
+    `block` texts (fewer of long ones), a pair of blocks at a time, so that large groups spread over tasks; copies are one text, so they make no pairs.
     Signatures rule pairs out first, at least `prune` (over five standard deviations) below the threshold; what is left is
     compared exactly. Out of a block come counts and the links of a spanning forest, not all pairs. Links make classes. n_links
     is the number of other texts at or above the threshold, counted exactly over the group; n_copies that of other rows
@@ -203,7 +203,7 @@ def _linked(sets: list[np.ndarray], codes: np.ndarray, across: np.ndarray | None
 
 def _compare(members: DataFrame, threshold: float, prune: float, block: int) -> DataFrame:
     """For texts (rid, code, sh, root): (a, null, n), how many others of the root are linked to a, by parts; (a, b, null), links that connect."""
-    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum(F.octet_length("sh")) / (block * 32_768))).cast("int").alias("parts"))
     cut = members.join(sizes, "root").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     cut = cut.select("root", "rid", "code", "sh", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     cut = cut.select("root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "rid", "code", "sh")
