@@ -15,7 +15,7 @@ _WRITTEN: list[tuple[SparkSession, str]] = []
 
 #: White space at which words end; str.split() also splits at the characters below, so texts that hold one of them take the regular expression.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -257,6 +257,13 @@ def test_quality_labels(spark, small):
     assert t.filter("kept = (quality = 1)").count() / t.count() > 0.9
 
 
+def test_words_end_at_ascii_space_only():
+    from featherline.llm.common import WORD, words
+
+    for c in map(chr, range(0x3100)):
+        assert words(f"a{c}b c") == WORD.findall(f"a{c}b c")
+
+
 # sharding
 
 
