@@ -17,6 +17,9 @@ from featherline.llm.common import fold, table
 _LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 
+#: Up to so many labels are sent to all tasks (16 MB); more are joined by a shuffle.
+MOST_SENT = 1_000_000
+
 
 def terms_of(word: str) -> list[str]:
     """A word and its beginnings, so that inflected forms meet."""
@@ -40,6 +43,37 @@ class Matcher(dict):
         return Counter(i for t in map(self.__getitem__, _LETTERS.findall((text or "").lower())) if t for i in t)
 
 
+def _ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The numbers from a[i] up to but without b[i], one range after another."""
+    n = b - a
+    return np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+class Postings:
+    """Weights of terms in examples: entries by term and example, and runs of them that share term and block, with the greatest weight of each."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int):
+        term = np.concatenate([np.empty(0, int), *(i for i, _ in vectors)])
+        example = np.repeat(np.arange(len(vectors)), [len(i) for i, _ in vectors])
+        order = np.lexsort((example, term))
+        term, self.at = term[order], example[order].astype(np.int32)
+        self.weight = np.concatenate([np.empty(0), *(v for _, v in vectors)])[order].astype(np.float32)
+        self.start, self.examples, self.blocks = np.searchsorted(term, np.arange(terms + 1)), len(vectors), -(-len(vectors) // block)
+        run = term * max(1, self.blocks) + self.at // block
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        self.run_at, self.run_block = np.append(first, len(run)), self.at[first] // block
+        self.run_most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.run_start = np.searchsorted(term[first], np.arange(terms + 1))
+
+    def __getitem__(self, terms: np.ndarray) -> np.ndarray:
+        """The weights of some terms as a dense matrix, terms x examples."""
+        out = np.zeros((len(terms), self.examples), np.float32)
+        for row, t in zip(out, terms, strict=True):
+            at = slice(self.start[t], self.start[t + 1])
+            row[self.at[at]] = self.weight[at]
+        return out
+
+
 @dataclass
 class Index:
     """Labelled examples as TF-IDF vectors of length 1, in blocks of examples with the greatest weight of each term in a block.
@@ -50,8 +84,7 @@ class Index:
 
     terms: list[str]
     idf: np.ndarray  # of the terms and the pseudo-term
-    weights: np.ndarray  # (terms + 1) x examples
-    most: np.ndarray  # (terms + 1) x blocks
+    weights: Postings  # of the terms and the pseudo-term, which all examples hold
     label: np.ndarray
     stand_for: np.ndarray  # labelled rows each example stands for
     ids: np.ndarray
@@ -60,25 +93,38 @@ class Index:
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0]), np.array([0.0])))
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        i = np.array([*sorted(counts), len(self.terms)], int)
-        v = np.array([*(1 + np.log(counts[j]) for j in sorted(counts)), 1.0]) * self.idf[i]
+        own = sorted(counts)
+        i = np.array([*own, len(self.terms)], int)
+        v = np.append(1 + np.log(np.array([counts[j] for j in own], float)), 1.0) * self.idf[i]
         return i, v / np.sqrt(v @ v)
 
     def nearest(self, counts: dict[int, int], leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of greatest cosine, ties to the lower number: blocks by falling bound until no bound beats the k-th."""
+        """The k examples of greatest cosine, ties to the lower number: blocks by falling bound, ever more at once, until no bound beats the k-th."""
         i, v = self.vector(counts)
-        bound = v @ self.most[i]
+        p = self.weights
+        a, b = p.run_start[i], p.run_start[i + 1]
+        runs, value = _ranges(a, b), np.repeat(v, b - a)
+        bound = np.bincount(p.run_block[runs], value * p.run_most[runs], p.blocks)
+        order = np.argsort(-bound, kind="stable")
+        rank = np.empty(p.blocks, int)
+        rank[order] = np.arange(p.blocks)
+        rank = rank[p.run_block[runs]]
+        by = np.argsort(rank, kind="stable")
+        cut = np.searchsorted(rank[by], np.arange(p.blocks + 1))
         best_n, best_s = np.empty(0, int), np.empty(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if len(best_s) >= self.k and bound[b] < best_s[self.k - 1] - 1e-9:
-                break
-            at = slice(b * self.block, (b + 1) * self.block)
-            s = v @ self.weights[i, at]
-            n = np.arange(at.start, at.start + len(s))
-            keep = n != leave_out
-            best_n, best_s = np.concatenate([best_n, n[keep]]), np.concatenate([best_s, s[keep]])
-            order = np.lexsort((best_n, -np.round(best_s, 9)))[: self.k]
-            best_n, best_s = best_n[order], best_s[order]
+        done, wide = 0, 4
+        while done < p.blocks and not (len(best_s) >= self.k and bound[order[done]] < best_s[self.k - 1] - 1e-9):
+            end = min(done + wide, p.blocks)
+            some = by[cut[done] : cut[end]]
+            a, b = p.run_at[runs[some]], p.run_at[runs[some] + 1]
+            at = _ranges(a, b)
+            s = np.bincount(p.at[at], np.repeat(value[some], b - a) * p.weight[at], p.examples)
+            n = np.flatnonzero(s)
+            n = n[n != leave_out]
+            best_n, best_s = np.concatenate([best_n, n]), np.concatenate([best_s, s[n]])
+            keep = np.lexsort((best_n, -np.round(best_s, 9)))[: self.k]
+            best_n, best_s = best_n[keep], best_s[keep]
+            done, wide = end, 2 * wide
         return best_n, best_s
 
     def vote(self, n: np.ndarray, s: np.ndarray) -> float:
@@ -113,71 +159,39 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(xs), np.clip(np.array(ys), 0, 1)
 
 
-def choose_terms(examples: list[tuple[frozenset[int], int, float]], support: dict[int, tuple[int, int]], most: int, cover: int = 4, least: float = 2.5) -> list[int]:
-    """Greedy cover: the term that holds most toxic examples not yet held by `cover` chosen terms, weighed by its precision, until none gains `least`.
-
-    Copies of one toxic text share all their words; cover keeps those words out once telling terms hold the text.
-    """
-    left = {n: cover for n, (f, y, _) in enumerate(examples) if y}
-    holds: dict[int, set[int]] = {}
-    for n, (f, y, _) in enumerate(examples):
-        if y:
-            for t in f:
-                holds.setdefault(t, set()).add(n)
-    worth = {t: (support[t][1] / support[t][0]) ** 4 for t in holds}
-    chosen: list[int] = []
-    gain = {t: len(h) * worth[t] for t, h in holds.items()}
-    while gain and len(chosen) < most:
-        t = max(gain, key=lambda t: (gain[t], -t))
-        real = sum(n in left for n in holds[t]) * worth[t]
-        if real < gain[t]:
-            gain[t] = real
-            if real < least:
-                del gain[t]
-            continue
-        if real < least:
-            break
-        del gain[t]
-        chosen.append(t)
-        for n in holds[t]:
-            if n in left:
-                left[n] -= 1
-                if not left[n]:
-                    del left[n]
-    return chosen
-
-
-def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str = "doc_id", examples_a_class: int = 3000, candidates: int = 6000, most_terms: int = 600) -> Index:
+def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str = "doc_id", examples_a_class: int = 3000, support: int = 3, precision: float = 0.5) -> Index:
     """Fit on labelled rows; null labels are left out.
 
-    How many toxic and how many labelled rows hold a term is counted over all of them; the `candidates` terms with most
-    toxic rows and a share of toxic ones of at least 0.5 go on. The index holds up to `examples_a_class` rows of each label,
-    all if there are fewer, chosen by a hash of the key, each standing for its share of the rows.
+    How many toxic and how many labelled rows hold a term is counted over all of them; every term with at least `support`
+    toxic rows and a share of toxic ones of at least `precision` is a feature. The index holds up to `examples_a_class` rows
+    of each label, all if there are fewer, chosen by a hash of the key, each standing for its share of the rows.
     """
     rows = rows.filter(F.col(label).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(label).cast("int").alias("y"), F.col(text).alias("text"))
     n_of = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
 
-    def count(only: frozenset[str] | None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                n: Counter = Counter()
-                for x in b.column(0):
-                    own = set(_LETTERS.findall((x.as_py() or "").lower()))
-                    if only is None:
-                        n.update({t for w in own for t in terms_of(w)})
-                    else:
-                        n.update({t for w in own for t in terms_of(w) if t in only})
-                yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
-
-        return run
-
-    least = max(3, round(0.001 * n_of.get(1, 0)))
-    toxic = rows.filter("y = 1").select("text").mapInArrow(count(None), "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    toxic = {r.term: r.n for r in toxic.orderBy(F.desc("n"), "term").limit(4 * candidates).collect()}
-    seen = rows.select("text").mapInArrow(count(frozenset(toxic)), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    support = {r.term: (r.n, toxic[r.term]) for r in seen.collect()}
-    total = sum(n_of.values())
-    terms = sorted((t for t, (n, p) in support.items() if p / n >= 0.5), key=lambda t: (-support[t][1], t))[:candidates]
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([toxic[t] for t in n], pa.int64())], names=["term", "n", "toxic"])
+            n.clear()
+            toxic.clear()
+            return out
+
+        n, toxic = Counter(), Counter()
+        for b in batches:
+            for y, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                own = {t for w in set(_LETTERS.findall((x.as_py() or "").lower())) for t in terms_of(w)}
+                n.update(own)
+                if y == 1:
+                    toxic.update(own)
+                if len(n) >= 200_000:
+                    yield flush()
+        yield flush()
+
+    seen = rows.select("y", "text").mapInArrow(count, "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    seen = seen.filter((F.col("toxic") >= support) & (F.col("toxic") >= precision * F.col("n"))).collect()
+    seen.sort(key=lambda r: (-r.toxic, r.term))
+    terms, total = [r.term for r in seen], sum(n_of.values())
+    idf = np.array([np.log((1 + total) / (1 + r.n)) + 1 for r in seen] + [1.0])
 
     share = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for y, n in n_of.items() for v in (y, min(1.0, examples_a_class / n))]), F.col("y")), F.lit(0.0)) if n_of else F.lit(0.0)
     u = F.pmod(F.xxhash64("key", F.lit("example")), F.lit(1 << 30)) / float(1 << 30)
@@ -188,23 +202,17 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
             found = [m.counts(x.as_py()) for x in b.column(3)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["u", "key", "y", "t", "c"])
 
-    got = rows.withColumn("u", u).filter(F.col("u") < share).select("u", "key", "y", "text").mapInArrow(match, "u double, key long, y int, t array<int>, c array<int>").collect()
+    drawn = rows.withColumn("u", u).filter(F.col("u") < share)
+    keys = {r.key for r in drawn.select("key").collect()}  # known first, so that a join below reads no other texts
+    named = F.col("key").isin(list(keys - {None}))
+    got = drawn.filter(named | F.col("key").isNull() if None in keys else named).select("u", "key", "y", "text").mapInArrow(match, "u double, key long, y int, t array<int>, c array<int>").collect()
     got.sort(key=lambda r: (r.u, r.key is None, r.key or 0, r.y))
-    chosen = choose_terms([(frozenset(r.t), r.y, r.u) for r in got], {i: support[t] for i, t in enumerate(terms)}, most_terms)
-    number = {t: i for i, t in enumerate(chosen)}
-    counts = [{number[t]: c for t, c in zip(r.t, r.c, strict=True) if t in number} for r in got]
-    y = np.array([r.y for r in got], float)
+    counts = [dict(zip(r.t, r.c, strict=True)) for r in got]
     drawn = Counter(r.y for r in got)
-    idf = np.array([np.log((1 + total) / (1 + support[terms[t]][0])) + 1 for t in chosen] + [1.0])
-    index = Index([terms[t] for t in chosen], idf, np.zeros((len(chosen) + 1, len(got)), np.float32), np.zeros((len(chosen) + 1, 0)), y, np.array([n_of[r.y] / drawn[r.y] for r in got], float), np.array([r.key if r.key is not None else -1 for r in got], np.int64))
     order = sorted(range(len(got)), key=lambda n: (tuple(sorted(counts[n])), n))  # like examples share blocks, so bounds are tight
-    counts = [counts[n] for n in order]
-    index.label, index.stand_for, index.ids = index.label[order], index.stand_for[order], index.ids[order]
-    for n, c in enumerate(counts):
-        i, v = index.vector(c)
-        index.weights[i, n] = v
-    blocks = range(0, len(got), index.block)
-    index.most = np.stack([index.weights[:, a : a + index.block].max(1) for a in blocks], 1) if got else index.most
+    got, counts = [got[n] for n in order], [counts[n] for n in order]
+    index = Index(terms, idf, None, np.array([r.y for r in got], float), np.array([n_of[r.y] / drawn[r.y] for r in got], float), np.array([r.key if r.key is not None else -1 for r in got], np.int64))
+    index.weights = Postings([index.vector(c) for c in counts], len(terms) + 1, index.block)
     if got:
         raw = np.array([index.vote(*index.nearest(c, leave_out=n)) for n, c in enumerate(counts)])
         index.steps = isotonic(raw, index.label, index.stand_for)
@@ -230,7 +238,7 @@ def score(docs: DataFrame, index: Index, *, text: str = "text", keep: tuple[str,
                 if found is None:
                     p, n, s = index.score(c)
                     found = p, index.ids[n].tolist(), s.tolist(), [index.terms[i] for i in sorted(c)]
-                    if len(known) < 100_000:
+                    if len(key) <= 16 and len(known) < 100_000:
                         known[key] = found
                 out.append(found)
             cols = list(zip(*out, strict=True)) or [[], [], [], []]
@@ -250,11 +258,12 @@ def keep_clean(docs: DataFrame, index: Index, *, text: str = "text", threshold:
             for x in b.column(at):
                 c = m.counts(x.as_py())
                 key = tuple(sorted(c.items()))
-                if key not in known:
-                    if len(known) >= 100_000:
-                        known.clear()
-                    known[key] = index.score(c)[0] < threshold
-                keep.append(known[key])
+                found = known.get(key)
+                if found is None:
+                    found = index.score(c)[0] < threshold
+                    if len(key) <= 16 and len(known) < 100_000:
+                        known[key] = found
+                keep.append(found)
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
@@ -263,7 +272,8 @@ def keep_clean(docs: DataFrame, index: Index, *, text: str = "text", threshold:
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of documents outside fold 2 that have a label; a document labelled twice counts as toxic if either label says so."""
     one = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.filter(fold(F.col("doc_id"), 4) != 2).select("doc_id", "text").join(one, "doc_id")
+    few = one.count() <= MOST_SENT
+    return docs.filter(fold(F.col("doc_id"), 4) != 2).select("doc_id", "text").join(F.broadcast(one) if few else one, "doc_id")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
