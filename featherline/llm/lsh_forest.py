@@ -62,28 +62,29 @@ def _intersections(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def components(edges: DataFrame, name: str, most_rounds: int = 30) -> DataFrame:
+def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root): the least node that each node with an edge is connected to.
 
-    Each round every root takes the least root it touches, twice over, and edges move to the roots; ends when none is left.
-    Rounds are written to the shared folder. Nothing is gathered on the driver but the number of edges left.
+    Each round every root follows the least roots touched to the last one, by doubling until nothing changes, and edges move
+    to the roots; ends when none is left. At most half of a component's roots are left after two rounds, and doublings are
+    the logarithm of the longest way, so long paths take few steps. Rounds are written to the shared folder. Nothing is
+    gathered on the driver.
     """
     left = materialize(edges.select("a", "b").filter("a <> b").distinct(), f"{name}-edges")
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().withColumn("root", F.col("node"))
-    for _ in range(most_rounds):
+    while left.take(1):
         both = left.union(left.select("b", "a"))
         up = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("root"), F.least("a", "m").alias("up"))
-        up = materialize(up, f"{name}-up")
-        if not up.take(1):
-            return nodes
-        for _ in range(2):
-            up = up.join(up.select(F.col("root").alias("up"), F.col("up").alias("up2")), "up", "left").select("root", F.coalesce("up2", "up").alias("up"))
-        up = materialize(up, f"{name}-up")
+        up, moving = materialize(up, f"{name}-up"), True
+        while moving:
+            up = up.select("root", "up").join(up.select(F.col("root").alias("up"), F.col("up").alias("up2")), "up", "left")
+            up = materialize(up.select("root", F.coalesce("up2", "up").alias("up"), (F.col("up2") < F.col("up")).alias("moved")), f"{name}-up")
+            moving = bool(up.filter("moved").take(1))
         nodes = materialize(nodes.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), f"{name}-nodes")
         moved = left.join(up.select(F.col("root").alias("a"), F.col("up").alias("a2")), "a", "left").join(up.select(F.col("root").alias("b"), F.col("up").alias("b2")), "b", "left")
         moved = moved.select(F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b")).filter("a <> b")
         left = materialize(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-edges")
-    raise RuntimeError("edges are left after the last round")
+    return nodes
 
 
 def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16, deepest: int = 8, recall: float = 0.995, block: int = 1024, prune: float = 0.2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,7 +3,7 @@
 import itertools
 import random
 
-from featherline.llm import toxicity
+from featherline.llm import lsh_forest, toxicity
 
 
 # toxicity
@@ -34,3 +34,25 @@ def test_labels_beyond_those_sent(spark, small, monkeypatch):
     one = sorted(toxicity.labelled(docs, labels).collect())
     monkeypatch.setattr(toxicity, "MOST_SENT", 0)
     assert sorted(toxicity.labelled(docs, labels).collect()) == one
+
+
+# similarity
+
+
+def test_components_of_long_ways(spark):
+    n = 3000
+    edges = [(i, i + 1) for i in range(n)] + [(10_000 - i, 10_000 - i - 1) for i in range(n)] + [(20_000 + i, 20_000 + (i * 7 + 1) % n) for i in range(n)]
+    root = {}
+
+    def top(i):
+        while root.setdefault(i, i) != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    touched = {x for a, b in edges if a != b for x in (a, b)}
+    got = lsh_forest.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()
+    assert len(got) == len(touched) and {r.node: r.root for r in got} == {i: top(i) for i in touched}
