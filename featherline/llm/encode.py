@@ -1,8 +1,9 @@
-"""Fast byte-level BPE: the ids that the tokenizers library gives for a vocabulary file, with pieces remembered."""
+"""Fast byte-level BPE: the ids that the tokenizers library gives for a vocabulary file and its added tokens, with pieces remembered."""
 
 from __future__ import annotations
 
 import json
+import re
 import sys
 from array import array
 from functools import lru_cache
@@ -28,7 +29,12 @@ class Encoder(dict):
 
         self.most = most
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model = file["model"]
+        self.added = {t["content"]: np.array([t["id"]], "<u4") for t in file.get("added_tokens") or []}
+        if odd := [t["content"] for t in file.get("added_tokens") or [] if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+            raise ValueError(f"added tokens that depend on what stands around them: {odd}")
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         byte = {c: b for b, c in enumerate(_byte_chars())}
         ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items() if i < 256 + len(model["merges"])}
         self.bpe = tiktoken.Encoding("featherline", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -54,8 +60,19 @@ class Encoder(dict):
         return ids.tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
+        """Added tokens are one id wherever they stand, as in the library; what is between them is encoded alone."""
         if not text:
             return np.empty(0, np.uint32)
+        if self.cut.search(text):
+            out, at = [], 0
+            for m in self.cut.finditer(text):
+                out += [self.between(text[at : m.start()]), self.added[m[0]]]
+                at = m.end()
+            return np.concatenate([*out, self.between(text[at:])])
+        return self.between(text)
+
+    def between(self, text: str) -> np.ndarray:
+        """The ids of a text without added tokens."""
         first, *parts = text.split(" ")
         try:
             return np.frombuffer(self.whole(first) + b"".join(map(self.__getitem__, parts)), "<u4")

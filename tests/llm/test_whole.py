@@ -3,7 +3,10 @@
 import itertools
 import random
 
-from featherline.llm import lsh_forest, toxicity
+import pytest
+
+from featherline.llm import lsh_forest, packing, token_counts, toxicity
+from featherline.llm.encode import default_path, encoder
 
 
 # toxicity
@@ -56,3 +59,18 @@ def test_components_of_long_ways(spark):
     touched = {x for a, b in edges if a != b for x in (a, b)}
     got = lsh_forest.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()
     assert len(got) == len(touched) and {r.node: r.root for r in got} == {i: top(i) for i in touched}
+
+
+# encoding
+
+
+@pytest.mark.parametrize("text", ["a <|endoftext|> hi", "<|endoftext|>", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n\n<|endoftext|> y ", " <|endoftext|", "é  <|endoftext|>  日本語", "<|endoftext|>\x1c a<|ENDOFTEXT|>", "word " * 300 + "<|endoftext|>" + " word" * 300])
+def test_added_tokens_are_one_id(text):
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(default_path())
+    assert encoder(default_path()).ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_packing_and_counts(spark):
+    rows = spark.createDataFrame([(1, "a <|endoftext|> hi")], "doc_id long, text string")
+    assert [(r.ids, r.doc_tokens) for r in packing.pack(rows).collect()] == [([64, 220, 50256, 23105, 0], 5)]
+    assert [(r.length, r.n_docs) for r in token_counts.encoded_lengths(rows).collect()] == [(4, 1)]
