@@ -18,9 +18,11 @@ from featherline.plans.definitions import EV, NUMBERS, read, seconds, vectors
 from featherline.streaming import ingest
 
 
-def _dims(spark: SparkSession, d: str, n: int = 16) -> tuple[DataFrame, list[str]]:
-    names = [f"d{i}" for i in range(n)]
-    return vectors(spark, d).select("vec_id", "label", *[F.col("v")[i].alias(c) for i, c in enumerate(names)]), names
+def _dims(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    """A column for each element of the vectors, as many as the longest has."""
+    df = vectors(spark, d)
+    names = [f"d{i}" for i in range(df.agg(F.max(F.size("v"))).first()[0] or 0)]
+    return df.select("vec_id", "label", *[F.get("v", F.lit(i)).alias(c) for i, c in enumerate(names)]), names
 
 
 @query("pca")
@@ -43,8 +45,11 @@ def kmeans_cosine(spark: SparkSession, d: str) -> DataFrame:
 @query("ward_features")
 def ward_features(spark: SparkSession, d: str) -> DataFrame:
     df, names = _dims(spark, d)
-    r = {(x.x, x.y): x.r for x in T.correlation_matrix(df, names).collect()}
-    labels = T.ward_clusters(1 - np.abs(np.array([[r[a, b] for b in names] for a in names])))
+    n, _, c = T.moments(df, names)
+    s = np.sqrt(np.diag(c))
+    both = np.outer(s, s)
+    r = np.divide(c, both, out=np.zeros_like(c), where=(both > 0) & (n >= 3))  # 0 where correlation() has its default
+    labels = T.ward_clusters(1 - np.minimum(1, np.abs(r)))
     return spark.createDataFrame([(n, int(c)) for n, c in zip(names, labels, strict=True)], "feature string, cluster int")
 
 
