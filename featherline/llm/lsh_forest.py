@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification."""
+"""N-gram Jaccard join by MinHash LSH in bands of fixed depth with exact verification."""
 
 from __future__ import annotations
 
@@ -90,8 +90,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16, deepest: int = 8, recall: float = 0.995, block: int = 1024, prune: float = 0.2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with its class of similar texts: rid, doc_id, th (hash of its text), root (of its class), rep (its text's representative), class_id, class_size, n_copies, n_links.
 
-    Texts with the same set of word n-grams are one text, held by the row of least rid. Representatives enter the forest; the
-    prefixes of its sorted tries are shortened until pairs at the threshold meet with the target recall. Buckets, each by a
+    Texts with the same set of word n-grams are one text, held by the row of least rid. Representatives are put
+    in buckets by the first values of each tree, as many as let pairs at the threshold meet with the target recall. Buckets, each by a
     star to its least member, connect texts to groups, and the texts of a group are compared with one another: in blocks of
     `block` texts (fewer of long ones), a pair of blocks at a time, so that large groups spread over tasks; copies are one text, so they make no pairs.
     Signatures rule pairs out first, at least `prune` (over five standard deviations) below the threshold; what is left is
