@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
+_WRITTEN: list[tuple[SparkSession, str, str | None]] = []
 
 #: White space at which words end; str.split() also splits at the characters below, so texts that hold one of them take the regular expression.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -28,27 +28,54 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_featherline"
 
 
+@contextmanager
+def _shuffles_end(spark: SparkSession):
+    """Spark removes the shuffle files of a write as soon as the write has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors and fixes row ids. Removed when the driver's Python ends."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
-    if not _WRITTEN:
-        atexit.register(_clean)
-    _WRITTEN.append((spark, path))
+    with _shuffles_end(spark):
+        df.write.parquet(path)
+    _written(spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that nothing refers to any more; it does so when the driver's garbage is collected."""
-    gc.collect()
-    spark._jvm.System.gc()
+def materialize_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As materialize, but in buckets by the hash of a key, as many as shuffles have partitions, so that joins by the key don't shuffle it."""
+    spark = df.sparkSession
+    unique = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{scratch_dir(spark)}/{unique}"
+    with _shuffles_end(spark):
+        df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(unique)
+    _written(spark, path, unique)
+    return spark.table(unique)
+
+
+def _written(spark: SparkSession, path: str, table_name: str | None = None) -> None:
+    if not _WRITTEN:
+        atexit.register(_clean)
+    _WRITTEN.append((spark, path, table_name))
 
 
 def _clean() -> None:
-    for spark, path in _WRITTEN:
+    for spark, path, name in _WRITTEN:
         try:
+            if name:
+                spark.sql(f"DROP TABLE IF EXISTS `{name}`")
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # the JVM has gone

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from featherline.llm import decontaminate, html_extraction, katz, language_id, lsh_forest, packing, quality_rules, sharding, token_counts, toxicity
+from featherline.llm import decontaminate, html_extraction, language_id, lsh_forest, packing, quality_rules, sharding, token_counts, toxicity
 from featherline.llm.encode import default_path, encoder
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -324,84 +324,6 @@ def test_broken_pages(html):
     html_extraction.extract(html_extraction.parse(html), None)
 
 
-# language model
-
-
-def brute_katz(rows):
-    """Scores straight from the definition, by recursion."""
-    c1, c2, after = Counter(), Counter(), defaultdict(set)
-    for _, out, t in rows:
-        if not out:
-            h = katz.BEGIN
-            for w in [*katz.tokens(t), katz.END]:
-                c1[w] += 1
-                c2[h, w] += 1
-                after[h].add(w)
-                h = w
-    total = sum(c1.values())
-    uni, d = katz.Unigrams.of(total, len(c1), Counter(c1.values())), katz.discounts(Counter(c2.values()))
-
-    def p1(w):
-        return float(uni.p(np.array([c1[w]]))[0])
-
-    @cache
-    def of(h):
-        n = sum(c2[h, v] for v in after[h])
-        left = sum(c2[h, v] * (1 - d[c2[h, v]]) for v in after[h] if c2[h, v] <= katz.K)
-        return n, *(float(x[0]) for x in katz.weights(np.array([n]), np.array([left]), np.array([sum(map(p1, after[h]))])))
-
-    @cache
-    def p2(h, w):
-        n, scale, back = of(h)
-        if not n:
-            return p1(w)
-        c = c2[h, w]
-        return c * (d[c] if c <= katz.K else 1) * scale / n if c else back * p1(w)
-
-    out = []
-    for key, held, t in rows:
-        h, s, b, own = katz.BEGIN, 0.0, 0.0, [*katz.tokens(t), katz.END]
-        for w in own:
-            s += np.log10(p2(h, w))
-            b += np.log10((c1[w] + 0.1) / (total + 0.1 * (len(c1) + 1)))
-            h = w
-        out.append((key, held, len(own), sum(c1[w] > 0 for w in own), total, b, s))
-    return out, c1, p2
-
-
-def test_katz(spark, odd, none, monkeypatch):
-    r = random.Random(4)
-    zipf = [f"w{int(1 / (r.random() + 1e-3)) % 300}" for _ in range(9000)]
-    rows = [(i, i % 10 == 0, " ".join(zipf[i * 90 : i * 90 + r.randrange(90)])) for i in range(100)] + [(x.doc_id, (x.doc_id or 0) == 8, x.text) for x in odd.collect()]
-    want, c1, p2 = brute_katz(rows)
-    for h in (katz.BEGIN, b"w1", b"w2", b"never"):
-        assert sum(p2(h, w) for w in c1) + p2(h, b"unknown word") == pytest.approx(1)
-    table = spark.createDataFrame(rows, "doc_id long, held boolean, text string")
-    got = katz.score(table, F.col("held"), most_tokens=500).collect()
-    key = lambda r: (str(r[0]), r[2], round(r[6], 4))
-    for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
-        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
-    assert katz.score(none.withColumn("held", F.lit(False)), F.col("held")).count() == 0
-    assert katz.score(table, F.lit(True)).count() == len(rows)
-
-
-def test_katz_splits_large_histories(spark):
-    rows = [(i, i % 10 == 0, " ".join(f"the n{(i * 7 + j * j) % 50}" for j in range(30))) for i in range(60)]
-    want, _, _ = brute_katz(rows)
-    old, katz.LARGE = katz.LARGE, 100
-    try:
-        got = katz.score(spark.createDataFrame(rows, "doc_id long, held boolean, text string"), F.col("held"), most_tokens=300).collect()
-    finally:
-        katz.LARGE = old
-    assert [r.score for r in sorted(got, key=lambda r: r.doc_id)] == pytest.approx([w[6] for w in want])
-
-
-def test_discounts_stay_in_range():
-    for n in ({}, {1: 5}, {1: 100, 2: 40, 3: 20, 4: 12, 5: 9, 6: 7}, {2: 5}, {1: 3, 2: 90, 3: 1}):
-        d = katz.discounts(n)
-        assert ((d > 0) & (d <= 1)).all()
-
-
 # similarity
 
 
