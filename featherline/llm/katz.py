@@ -50,7 +50,8 @@ def _bundle(arrays: list[np.ndarray]) -> bytes:
     for a in arrays:
         bits = a.view(np.uint64) if a.dtype == np.float64 else a.astype(np.uint64)
         n = max(1, (int(bits.max(initial=0)).bit_length() + 7) // 8)
-        out += [np.array([len(bits), n], "<u4").tobytes(), bits.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T.tobytes()]
+        planes = bits.astype("<u8", copy=False).view(np.uint8)
+        out += [np.array([len(bits), n], "<u4").tobytes(), *(planes[i::8].tobytes() for i in range(n))]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
@@ -59,9 +60,10 @@ def _unbundle(data) -> list[np.ndarray]:
     out, at = [], 4
     for _ in range(int(np.frombuffer(data, "<u4", 1)[0])):
         m, n = np.frombuffer(data, "<u4", 2, at).tolist()
-        bits = np.zeros((m, 8), np.uint8)
-        bits[:, :n] = np.frombuffer(data, np.uint8, m * n, at + 8).reshape(n, m).T
-        out.append(bits.reshape(-1).view("<u8").astype(np.int64))
+        a = np.frombuffer(data, np.uint8, m, at + 8).astype(np.int64)
+        for i in range(1, n):
+            a |= np.frombuffer(data, np.uint8, m, at + 8 + i * m).astype(np.int64) << (8 * i)
+        out.append(a)
         at += 8 + m * n
     return out
 
@@ -276,12 +278,17 @@ class Chunk:
         place, c = _mix(last + np.uint64(1)), self.count(m)
         if rest:
             n_last = self.n[np.append(self.orders[m - 2].w, len(self.vocab))]
-            sub = place
+            big = np.flatnonzero(n_last >= large)
+            sub = place[big]
             for x in rest:
-                sub = _mix(sub + x + np.uint64(1))
-            place = np.where(n_last >= large, _mix(place + sub % (n_last // large + 1).astype(np.uint64)), place)
-        place, big = place[o.h], c[o.h] >= large
-        place[big] = _mix(place[big] + np.uint64(1) + _mix(self.id[o.w[big]].astype(np.uint64) + np.uint64(7)) % (c[o.h[big]] // large + 1).astype(np.uint64))
+                sub = _mix(sub + x[big] + np.uint64(1))
+            place[big] = _mix(place[big] + sub % (n_last[big] // large + 1).astype(np.uint64))
+        part = (_mix(place) % np.uint64(self.parts)).astype(np.uint32)[o.h]
+        big = np.flatnonzero((c >= large)[o.h])
+        if len(big):
+            h = o.h[big]
+            sub = _mix(self.id[o.w[big]].astype(np.uint64) + np.uint64(7)) % (c[h] // large + 1).astype(np.uint64)
+            part[big] = _mix(_mix(place[h] + np.uint64(1) + sub)) % np.uint64(self.parts)
         key = names[0]
         for x in names[1:]:
             key = _pair(key, x)
@@ -290,7 +297,7 @@ class Chunk:
         order = np.argsort(key)
         n = n[order]
         grams = np.repeat(first[order] - np.cumsum(n) + n, n) + np.arange(len(o.h))  # by the order of their histories
-        for i, at in self.deal((_mix(place) % np.uint64(self.parts))[grams]):
+        for i, at in self.deal(part[grams]):
             at = grams[at]
             h = o.h[at]
             yield i, at, np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
