@@ -91,6 +91,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Names that start with these and that no column has."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while (name := f"_{name}_").lower() in taken:
+            pass
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words(text: str) -> list[str]:
     """The words `[^\\x20\\x09-\\x0D]+` of a text."""
     return WORD.findall(text) if _ODD_SPACE.search(text) else text.split()

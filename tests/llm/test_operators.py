@@ -359,13 +359,25 @@ def test_join(spark, odd, none):
                     linked[i].add(sets[j])
                     linked[j].add(sets[i])
     want = Counter((x.doc_id, min((found[j].doc_id for j in range(len(found)) if top(j) == top(i) and found[j].doc_id is not None), default=None), len(linked[i])) for i, x in enumerate(found))
-    got = lsh_forest.join(table, trees=32, block=5)
+    got = lsh_forest.join(table, recall=1 - 1e-12, block=5)  # down to the shortest prefixes
     assert Counter((x.doc_id, x.class_id, x.n_links) for x in got.collect()) == want
+    shipped = lsh_forest.join(table).collect()
+    links = sum(x.n_links for x in shipped)
+    assert 0.97 * sum(map(len, linked.values())) <= links <= sum(map(len, linked.values()))
+    assert len({x.root for x in shipped}) <= 1.02 * len({top(i) for i in range(len(found))})
     assert lsh_forest.join(none).count() == 0
     kept = lsh_forest.keep_one(odd)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 2
     plain = docs(spark, texts)
-    assert lsh_forest.keep_one(plain, trees=32).count() == len({top(i) for i in range(len(texts))})
+    assert lsh_forest.keep_one(plain, recall=1 - 1e-12).count() == len({top(i) for i in range(len(texts))})
+
+
+def test_kept_rows_may_have_any_names(spark):
+    rows = [(1, "a b c d e f", "x", 1, 2, 3), (2, "a b c d e f", "y", 4, 5, 6), (3, None, "z", 7, 8, 9)]
+    for more in ([], rows[:1]):
+        table = spark.createDataFrame(rows + more, "doc_id long, text string, _doc string, _th int, _n int, _doc_ int").toDF("doc_id", "text", "_doc", "_hash_", "_N", "__doc__")
+        kept = lsh_forest.keep_one(table)
+        assert kept.columns == table.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
 
 
 def test_components(spark):
@@ -373,9 +385,22 @@ def test_components(spark):
     assert {r.node: r.root for r in lsh_forest.components(edges, "t").collect()} == {5: 5, 6: 5, 7: 5, 8: 5, 9: 5, 1: 1, 2: 1, 3: 1}
 
 
-def test_depth_reaches_recall():
-    d = lsh_forest.depth_for(0.8, 16, 0.995, 8)
-    assert 1 - (1 - 0.8**d) ** 16 >= 0.995 > 1 - (1 - 0.8 ** (d + 1)) ** 16
+def test_prefixes_shorten_as_links_need():
+    far, near = np.zeros(101), np.zeros(101)
+    far[81], near[97] = 1000, 1000
+    assert lsh_forest.shortened(near, 8, 16, 0.995) == 0  # the deepest prefixes find links of this kind
+    d = lsh_forest.shortened(far + near, 8, 16, 0.995)
+    assert 1 - (1 - 0.815**d) ** 16 >= 0.995 > 1 - (1 - 0.815 ** (d + 1)) ** 16
+    assert lsh_forest.shortened(far, d, 16, 0.995) == 0 and lsh_forest.shortened(np.zeros(101), 8, 16, 0.995) == 0
+
+
+def test_every_pair_is_compared_once(spark):
+    """Texts that share nodes of many trees and levels are linked once each, whatever the blocks."""
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[:i] + [f"x{i}"] + words[i + 1 :]) for i in range(5, 195, 5)]
+    for block in (512, 7):
+        got = lsh_forest.join(docs(spark, texts), recall=1 - 1e-12, block=block).collect()
+        assert {r.n_links for r in got} == {len(texts) - 1} and {r.class_size for r in got} == {len(texts)}
 
 
 def test_recall_on_documents(spark, small):
