@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import fold, table
+from featherline.llm.common import fold, materialize, table
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -29,7 +30,7 @@ def terms_of(word: str) -> list[str]:
 class Matcher(dict):
     """Maps words to the numbers of the terms they hold; at most `most` words are remembered."""
 
-    def __init__(self, terms: list[str], most: int = 500_000):
+    def __init__(self, terms: list[str], most: int = 100_000):
         self.number, self.most = {t: i for i, t in enumerate(terms)}, most
 
     def __missing__(self, word: str) -> tuple[int, ...]:
@@ -65,26 +66,20 @@ class Postings:
         self.run_most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
         self.run_start = np.searchsorted(term[first], np.arange(terms + 1))
 
-    def __getitem__(self, terms: np.ndarray) -> np.ndarray:
-        """The weights of some terms as a dense matrix, terms x examples."""
-        out = np.zeros((len(terms), self.examples), np.float32)
-        for row, t in zip(out, terms, strict=True):
-            at = slice(self.start[t], self.start[t + 1])
-            row[self.at[at]] = self.weight[at]
-        return out
-
 
 @dataclass
 class Index:
-    """Labelled examples as TF-IDF vectors of length 1, in blocks of examples with the greatest weight of each term in a block.
+    """Labelled examples as TF-IDF vectors of length 1 over all their words, in blocks of examples with the greatest weight of each term in a block.
 
-    A pseudo-term that all texts hold once stands for everything that is no term, so texts without terms are nearest to
-    examples without terms.
+    Terms are the words of the examples, and words and beginnings of words that tell toxic rows from others. A telling term
+    counts in full, any other `plain` times that, so texts are near to those that share what tells, and else to those that
+    share most words.
     """
 
     terms: list[str]
-    idf: np.ndarray  # of the terms and the pseudo-term
-    weights: Postings  # of the terms and the pseudo-term, which all examples hold
+    telling: np.ndarray  # of each term, if it tells
+    weight: np.ndarray  # inverse document frequencies of the terms, times `plain` for those that don't tell
+    postings: Postings
     label: np.ndarray
     stand_for: np.ndarray  # labelled rows each example stands for
     ids: np.ndarray
@@ -93,33 +88,33 @@ class Index:
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0]), np.array([0.0])))
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        own = sorted(counts)
-        i = np.array([*own, len(self.terms)], int)
-        v = np.append(1 + np.log(np.array([counts[j] for j in own], float)), 1.0) * self.idf[i]
-        return i, v / np.sqrt(v @ v)
+        i = np.fromiter(counts, int, len(counts))
+        v = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weight[i]
+        order = np.argsort(i)  # sums don't depend on the order of the words
+        i, v = i[order], v[order]
+        return i, v / np.sqrt(max(v @ v, 1e-300))
 
     def nearest(self, counts: dict[int, int], leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of greatest cosine, ties to the lower number: blocks by falling bound, ever more at once, until no bound beats the k-th."""
+        """The k examples of greatest cosine above 0, ties to the lower number: blocks by falling bound, ever more at once, until no bound beats the k-th."""
         i, v = self.vector(counts)
-        p = self.weights
+        p = self.postings
         a, b = p.run_start[i], p.run_start[i + 1]
         runs, value = _ranges(a, b), np.repeat(v, b - a)
-        bound = np.bincount(p.run_block[runs], value * p.run_most[runs], p.blocks)
+        blocks = p.run_block[runs]
+        bound = np.bincount(blocks, value * p.run_most[runs], p.blocks)
         order = np.argsort(-bound, kind="stable")
         rank = np.empty(p.blocks, int)
         rank[order] = np.arange(p.blocks)
-        rank = rank[p.run_block[runs]]
-        by = np.argsort(rank, kind="stable")
-        cut = np.searchsorted(rank[by], np.arange(p.blocks + 1))
+        rank = rank[blocks]
         best_n, best_s = np.empty(0, int), np.empty(0)
         done, wide = 0, 4
-        while done < p.blocks and not (len(best_s) >= self.k and bound[order[done]] < best_s[self.k - 1] - 1e-9):
+        while done < p.blocks and bound[order[done]] > 0 and not (len(best_s) >= self.k and bound[order[done]] < best_s[self.k - 1] - 1e-6):
             end = min(done + wide, p.blocks)
-            some = by[cut[done] : cut[end]]
+            some = np.flatnonzero((rank >= done) & (rank < end))
             a, b = p.run_at[runs[some]], p.run_at[runs[some] + 1]
             at = _ranges(a, b)
             s = np.bincount(p.at[at], np.repeat(value[some], b - a) * p.weight[at], p.examples)
-            n = np.flatnonzero(s)
+            n = np.flatnonzero(s > (best_s[self.k - 1] - 1e-6 if len(best_s) >= self.k else 0))
             n = n[n != leave_out]
             best_n, best_s = np.concatenate([best_n, n]), np.concatenate([best_s, s[n]])
             keep = np.lexsort((best_n, -np.round(best_s, 9)))[: self.k]
@@ -137,6 +132,23 @@ class Index:
         n, s = self.nearest(counts)
         return float(np.interp(self.vote(n, s), *self.steps)), n, s
 
+    def scorer(self, most: int = 20_000):
+        """(score, neighbours, cosines, telling terms found) of texts; some thousand copies are remembered."""
+        m, known = Matcher(self.terms), {}
+
+        def of(text: str | None):
+            key = xxhash.xxh3_128_digest((text or "").encode("utf-8", "replace"))
+            found = known.get(key)
+            if found is None:
+                if len(known) >= most:
+                    known.clear()
+                c = m.counts(text)
+                p, n, s = self.score(c)
+                found = known[key] = p, self.ids[n].tolist(), s.tolist(), [self.terms[i] for i in sorted(c) if self.telling[i]]
+            return found
+
+        return of
+
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rising step values of y over x by pooling adjacent violators, as points to interpolate between."""
@@ -159,14 +171,16 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(xs), np.clip(np.array(ys), 0, 1)
 
 
-def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str = "doc_id", examples_a_class: int = 3000, support: int = 3, precision: float = 0.5) -> Index:
-    """Fit on labelled rows; null labels are left out.
+def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str = "doc_id", examples_a_class: int = 2000, support: int = 3, precision: float = 0.5, plain: float = 0.05) -> Index:
+    """Fit on labelled rows; null labels are left out, any label but 0 is toxic.
 
-    How many toxic and how many labelled rows hold a term is counted over all of them; every term with at least `support`
-    toxic rows and a share of toxic ones of at least `precision` is a feature. The index holds up to `examples_a_class` rows
-    of each label, all if there are fewer, chosen by a hash of the key, each standing for its share of the rows.
+    How many toxic and how many labelled rows hold a term is counted over all of them; every word or beginning of a word with
+    at least `support` toxic rows and a share of toxic ones of at least `precision` tells. The index holds up to
+    `examples_a_class` rows of each label, all if there are fewer, chosen by a hash of the key, each standing for its share
+    of the rows. Its terms are all words of these rows, and all terms that tell. Rows with the same key are drawn
+    together; repeated rows count each.
     """
-    rows = rows.filter(F.col(label).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(label).cast("int").alias("y"), F.col(text).alias("text"))
+    rows = rows.filter(F.col(label).isNotNull()).select(F.col(key).cast("long").alias("key"), (F.col(label) != 0).cast("int").alias("y"), F.col(text).alias("text"))
     n_of = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,31 +202,44 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
         yield flush()
 
     seen = rows.select("y", "text").mapInArrow(count, "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    seen = seen.filter((F.col("toxic") >= support) & (F.col("toxic") >= precision * F.col("n"))).collect()
-    seen.sort(key=lambda r: (-r.toxic, r.term))
-    terms, total = [r.term for r in seen], sum(n_of.values())
-    idf = np.array([np.log((1 + total) / (1 + r.n)) + 1 for r in seen] + [1.0])
-
+    seen = materialize(seen, "terms")
     share = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for y, n in n_of.items() for v in (y, min(1.0, examples_a_class / n))]), F.col("y")), F.lit(0.0)) if n_of else F.lit(0.0)
     u = F.pmod(F.xxhash64("key", F.lit("example")), F.lit(1 << 30)) / float(1 << 30)
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Matcher(terms)
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [m.counts(x.as_py()) for x in b.column(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["u", "key", "y", "t", "c"])
+            found = [Counter(_LETTERS.findall((x.as_py() or "").lower())) for x in b.column(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["u", "key", "y", "w", "c"])
 
     drawn = rows.withColumn("u", u).filter(F.col("u") < share)
     keys = {r.key for r in drawn.select("key").collect()}  # known first, so that a join below reads no other texts
     named = F.col("key").isin(list(keys - {None}))
-    got = drawn.filter(named | F.col("key").isNull() if None in keys else named).select("u", "key", "y", "text").mapInArrow(match, "u double, key long, y int, t array<int>, c array<int>").collect()
-    got.sort(key=lambda r: (r.u, r.key is None, r.key or 0, r.y))
-    counts = [dict(zip(r.t, r.c, strict=True)) for r in got]
-    drawn = Counter(r.y for r in got)
-    order = sorted(range(len(got)), key=lambda n: (tuple(sorted(counts[n])), n))  # like examples share blocks, so bounds are tight
+    drawn = drawn.filter(named | F.col("key").isNull() if None in keys else named).select("u", "key", "y", "text").mapInArrow(words_of, "u double, key long, y int, w array<string>, c array<int>")
+    drawn = materialize(drawn, "examples")
+
+    tells = (F.col("toxic") >= support) & (F.col("toxic") >= precision * F.col("n"))
+    of_examples = drawn.select(F.explode("w").alias("term")).distinct().withColumn("held", F.lit(True))
+    got_terms = seen.join(of_examples, "term", "left").select("term", "n", tells.alias("tells"), "held").filter("tells or held").select("term", "n", "tells").collect()
+    got_terms.sort(key=lambda r: (-r.n, r.term))
+    terms, total, telling = [r.term for r in got_terms], sum(n_of.values()), np.array([r.tells for r in got_terms], bool)
+    weight = (np.log((1 + total) / (1 + np.array([r.n for r in got_terms], float))) + 1) * np.where(telling, 1.0, plain)
+    number = Matcher(terms)
+
+    got, counts = [], []
+    for r in drawn.toLocalIterator():  # bounded by the sample
+        c: Counter = Counter()
+        for w, n in zip(r.w, r.c, strict=True):
+            for i in number[w]:
+                c[i] += n
+        got.append((r.u, r.key, r.y))
+        counts.append(c)
+    order = sorted(range(len(got)), key=lambda n: (got[n][0], got[n][1] is None, got[n][1] or 0, got[n][2], sorted(counts[n].items())))
+    n_drawn = Counter(y for _, _, y in got)
+    like = {n: (sorted(i for i in counts[n] if telling[i])[:8], sorted(counts[n])[:8]) for n in order}
+    order.sort(key=like.__getitem__)  # examples that share telling terms, then the commonest words, share blocks, so bounds are tight
     got, counts = [got[n] for n in order], [counts[n] for n in order]
-    index = Index(terms, idf, None, np.array([r.y for r in got], float), np.array([n_of[r.y] / drawn[r.y] for r in got], float), np.array([r.key if r.key is not None else -1 for r in got], np.int64))
-    index.weights = Postings([index.vector(c) for c in counts], len(terms) + 1, index.block)
+    index = Index(terms, telling, weight, None, np.array([y for _, _, y in got], float), np.array([n_of[y] / n_drawn[y] for _, _, y in got], float), np.array([-1 if k is None else k for _, k, _ in got], np.int64))
+    index.postings = Postings([index.vector(c) for c in counts], len(terms), index.block)
     if got:
         raw = np.array([index.vote(*index.nearest(c, leave_out=n)) for n, c in enumerate(counts)])
         index.steps = isotonic(raw, index.label, index.stand_for)
@@ -220,51 +247,33 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
 
 
 def score(docs: DataFrame, index: Index, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns `keep`, score, and as evidence the ids and cosines of the nearest examples and the terms found.
+    """Columns `keep`, score, and as evidence the ids and cosines of the nearest examples and the telling terms found.
 
-    Null and empty texts are scored as texts without terms; with no labelled rows every score is 0.
+    Null and empty texts, and those without a word of the index, have no neighbours and the score of no toxic vote; with no
+    labelled rows every score is 0. Repeated rows are scored each; ties in cosine go to the example of lower number. An empty
+    table gives no rows; other columns are not read.
     """
     fields = [docs.schema[c] for c in keep]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", score double, neighbours array<long>, cosines array<float>, terms array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = Matcher(index.terms), {}
+        of = index.scorer()
         for b in batches:
-            out = []
-            for x in b.column(len(keep)):
-                c = m.counts(x.as_py())
-                key = tuple(sorted(c.items()))
-                found = known.get(key)
-                if found is None:
-                    p, n, s = index.score(c)
-                    found = p, index.ids[n].tolist(), s.tolist(), [index.terms[i] for i in sorted(c)]
-                    if len(key) <= 16 and len(known) < 100_000:
-                        known[key] = found
-                out.append(found)
-            cols = list(zip(*out, strict=True)) or [[], [], [], []]
+            cols = list(zip(*(of(x.as_py()) for x in b.column(len(keep))), strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.list_(pa.float32())), pa.array(cols[3], pa.list_(pa.string()))], names=[*keep, "score", "neighbours", "cosines", "terms"])
 
-    return docs.select(*keep, F.col(text)).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
 
 
 def keep_clean(docs: DataFrame, index: Index, *, text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """Rows of docs, with all their columns, whose text scores below the threshold."""
+    """Rows of docs, with all their columns, whatever their names, whose text scores below the threshold. Null and empty texts
+    stay unless texts without words are mostly toxic; repeated rows are judged alike; an empty table stays empty."""
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = Matcher(index.terms), {}
+        of = index.scorer()
         for b in batches:
-            keep = []
-            for x in b.column(at):
-                c = m.counts(x.as_py())
-                key = tuple(sorted(c.items()))
-                found = known.get(key)
-                if found is None:
-                    found = index.score(c)[0] < threshold
-                    if len(key) <= 16 and len(known) < 100_000:
-                        known[key] = found
-                keep.append(found)
-            yield b.filter(pa.array(keep, pa.bool_()))
+            yield b.filter(pa.array([of(x.as_py())[0] < threshold for x in b.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -20,7 +20,9 @@ def test_every_telling_term_is_a_feature(spark):
     say = lambda *more: " ".join([*r.choices(plain, k=6), *more])
     rows = [(i, say(w, "idio"), 1) for i, w in enumerate(telling * 3)] + [(10_000 + i, say(), 0) for i in range(6000)]
     index = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"), examples_a_class=5000)
-    assert {*telling, "idio"} <= set(index.terms) and not set(plain) & set(index.terms)
+    assert {*telling, "idio", *plain} <= set(index.terms)  # whatever tells, and all words of the examples
+    tells = {t for t, y in zip(index.terms, index.telling, strict=True) if y}
+    assert {*telling, "idio"} <= tells and not set(plain) & tells
     asked = [(i, say(w)) for i, w in enumerate(telling[::10])] + [(10_000, say())]
     got = {x.doc_id: x.score for x in toxicity.score(spark.createDataFrame(asked, "doc_id long, text string"), index).collect()}
     assert got.pop(10_000) < 0.3 and len(got) == 150 and min(got.values()) >= 0.3
@@ -28,7 +30,11 @@ def test_every_telling_term_is_a_feature(spark):
 
 def test_precision_counts_all_rows(spark):
     rows = [(i, "zork" if i < 4 else "plain", 1) for i in range(8)] + [(10 + i, "zork" if i < 5 else "other", 0) for i in range(20)]
-    fit = lambda **o: set(toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"), **o).terms)
+
+    def fit(**options):
+        index = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"), **options)
+        return {t for t, y in zip(index.terms, index.telling, strict=True) if y}
+
     assert fit() == {"plain", "plai*"} and fit(precision=0.4) == {"plain", "plai*", "zork"} and fit(support=5) == set()
 
 
