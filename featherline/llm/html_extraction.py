@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featherline.llm.common import materialize, table
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|([^<]+|<)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>|([^<]+)", re.S)
+#: A tag whose quotes don't close ends at the next >.
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)([^>]*+)>")
+_TOKEN_PLAIN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)([^>]*+)>|([^<]+)", re.S)
 _ATTRIBUTE = re.compile(r"([\w:-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Elements that hold no page text; all up to their end tag is passed over.
-_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "audio", "video", "select", "option", "noembed", "noframes", "xmp"}
+_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "canvas", "audio", "video", "select", "option", "noembed", "noframes", "xmp"}
 _BLOCK = {"html", "body", "head", "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption", "search"}
 _LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre"}
 #: An open element of the second kind ends where one of the first begins.
@@ -27,6 +32,10 @@ _ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search"
 _ASIDE_WORDS = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsbygoogle", "adbox", "adslot", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments", "commentlist", "respond", "reply", "replies", "consent", "cookie", "cookies", "cookiebar", "disclaimer", "discussion", "disqus", "footer", "form", "gdpr", "header", "masthead", "login", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "overlay", "pager", "pagination", "paywall", "popup", "promo", "promoted", "promotion", "recommended", "recommendations", "related", "responses", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget", "widgets",
 }
+#: Words that say nothing of what a class holds.
+_LAYOUT_WORDS = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "col", "column", "container", "content", "count", "field", "fixed", "floating", "global", "group", "head", "heading", "icon", "icons", "inline", "inner", "item", "items", "js", "label", "layout", "left", "links", "list", "main", "message", "middle", "module", "new", "note", "outer", "page", "panel", "post", "posts", "primary", "region", "right", "row", "secondary", "section", "site", "slot", "small", "sticky", "story", "stories", "strip", "text", "thread", "title", "tools", "top", "unit", "user", "view", "wrap", "wrapper", "zone",
+}
 _SPACE = re.compile(r"\s+")
 
 
@@ -56,8 +65,13 @@ def _names(value: str) -> list[str]:
     return [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()) if w] if value else []
 
 
-@lru_cache(maxsize=20_000)
 def _start(tag: str, text: str, within_article: bool) -> tuple[tuple[str, ...], str, bool]:
+    """See _read_start; what long tags say is not remembered."""
+    return (_read_start if len(text) <= 300 else _read_start.__wrapped__)(tag, text, within_article)
+
+
+@lru_cache(maxsize=20_000)
+def _read_start(tag: str, text: str, within_article: bool) -> tuple[tuple[str, ...], str, bool]:
     """Class names without digits, the step they make in a path, and whether the element is set aside."""
     attributes = _attributes(text)
     mark = tuple(sorted(set(_names(attributes.get("class", "")))))
@@ -76,11 +90,18 @@ def _set_aside(tag: str, attributes: dict[str, str], within_article: bool) -> bo
         return True
     if tag in ("article", "main", "body", "html"):
         return False
-    return any(w in _ASIDE_WORDS for w in _names(attributes.get("class", "")) + _names(attributes.get("id", "")))
+    return any(map(_says_aside, [*attributes.get("class", "").split(), attributes.get("id", "")]))
+
+
+@lru_cache(maxsize=20_000)
+def _says_aside(name: str) -> bool:
+    """Whether one class name speaks of parts beside an article and of nothing else: `related-posts` does, `related-work` doesn't."""
+    own = set(_names(name))
+    return bool(own & _ASIDE_WORDS) and own <= _ASIDE_WORDS | _LAYOUT_WORDS
 
 
 def parse(html: str | None) -> Page:
-    """Containers and text blocks in page order. Unclosed and crossing tags are taken as browsers take them, roughly; any text parses."""
+    """Containers and text blocks in page order, in time and memory in proportion to the page. Unclosed and crossing tags are taken as browsers take them, roughly; any text parses."""
     page = Page()
     root = Node("", "")
     page.nodes.append(root)
@@ -97,12 +118,20 @@ def parse(html: str | None) -> Page:
             text, linked = [], 0
 
     html = html or ""
-    pos, n = 0, len(html)
+    pos, n, last = 0, len(html), (html or "").rfind(">")
+    quoted, endless = True, set()  # whether quotes may hold a >; elements without an end tag from here on
+    open_: Counter[str] = Counter()
     while pos < n:
-        m = _TOKEN.match(html, pos)
-        if not m:  # a tag that doesn't end
-            text.append(html[pos])
-            pos += 1
+        m = _TOKEN.match(html, pos) if quoted else _TOKEN_PLAIN.match(html, pos)
+        if m is None and quoted and pos < last and _PLAIN_TAG.match(html, pos):  # quotes that don't close up to the page's end: found once
+            quoted = False
+            continue
+        if m is None:  # no tag
+            stop = html.find("<", pos + 1) if pos < last else n
+            pos, t = (n if stop < 0 else stop), html[pos : n if stop < 0 else stop]
+            t = unescape(t) if "&" in t else t
+            text.append(t)
+            linked += len(t) if links else 0
             continue
         pos = m.end()
         if m[5] is not None or m[1] is not None:
@@ -118,21 +147,24 @@ def parse(html: str | None) -> Page:
             if tag == "a":
                 links = 0
             if tag in _BLOCK:
-                up = at
-                while up.parent and up.tag != tag:
-                    up = up.parent
-                if up.parent:
+                if open_[tag]:
                     end_block()
-                    at = up.parent
+                    while at.tag != tag:
+                        open_[at.tag] -= 1
+                        at = at.parent
+                    open_[tag] -= 1
+                    at = at.parent
                 elif tag == "p":
                     end_block()
             continue
         if tag in _RAW:
-            close = _end_of(tag).search(html, pos)
+            close = None if tag in endless else _end_of(tag).search(html, pos)
             if close:
                 pos = close.end()
             elif tag in ("script", "style", "textarea", "title", "xmp"):
                 pos = n
+            else:
+                endless.add(tag)
             continue
         if tag == "a":
             links = 1
@@ -144,15 +176,20 @@ def parse(html: str | None) -> Page:
         if tag == "hr":
             continue
         while at.parent and at.tag in _LEAF and at.tag != "pre":
+            open_[at.tag] -= 1
             at = at.parent
         for _ in range(3):
             if at.parent and at.tag in _ENDS.get(tag, ()):
+                open_[at.tag] -= 1
                 at = at.parent
         mark, name, aside = _start(tag, m[4], at.inside)
-        at = Node(tag, f"{at.path}/{name}", at.skip or aside, at.inside or tag in ("article", "main"), mark, at)
         if m[4].rstrip().endswith("/") and tag not in _LEAF:
-            at = at.parent
             continue
+        path = f"{at.path}/{name}"
+        if len(path) > 500:  # deep pages: what leads here by its hash, so that paths take no more than their steps
+            path = f"#{xxhash.xxh3_128_hexdigest(path.encode('utf-8', 'replace'))}"
+        at = Node(tag, path, at.skip or aside, at.inside or tag in ("article", "main"), mark, at)
+        open_[tag] += 1
         page.nodes.append(at)
     end_block()
     return page
@@ -185,16 +222,11 @@ def scores(page: Page) -> dict[str, float]:
 
 def text_under(page: Page, path: str | None) -> str | None:
     """Blocks under containers of that path, without set-aside parts; None if the page has none."""
-    keep: dict[int, bool] = {}
-
-    def under(node: Node | None) -> bool:
-        if node is None:
-            return False
-        if id(node) not in keep:
-            keep[id(node)] = node.path == path or under(node.parent)
-        return keep[id(node)]
-
-    found = [b for node, b in page.blocks if not node.skip and under(node)]
+    under: set[int] = set()
+    for node in page.nodes:  # parents come first
+        if node.path == path or id(node.parent) in under:
+            under.add(id(node))
+    found = [b for node, b in page.blocks if not node.skip and id(node) in under]
     return "\n\n".join(found) if found else None
 
 
