@@ -23,19 +23,19 @@ def _cell(x: Column, lo: Column, hi: Column) -> Column:
     return F.least(F.lit(BINS - 1), F.floor((x - lo) / width)).cast("int")
 
 
-def fit_tree(points: DataFrame, dims: list[str], shards: int, slack: float = 0.002, most_passes: int = 12) -> list[dict]:
+def fit_tree(points: DataFrame, dims: list[str], room: list[float], slack: float = 0.002) -> list[dict]:
     """Inner nodes of the tree: {node, left, right, dim, value, tie}. points: dims and tie (long), w (bytes).
 
-    All nodes of a level are split together. A node that has k leaves is cut where the left part's weight is nearest to
-    floor(k/2)/k of its own. The cut is found by histograms of weights, each narrowing the cell that holds the target; once
+    room: what each leaf is to hold, in proportion. All nodes of a level are split together. A node of k leaves is cut where
+    the left part's weight is nearest to the share of room that its first floor(k/2) leaves have. The cut is found by histograms of weights, each narrowing the cell that holds the target; once
     the cell is one value of the dimension, its points are told apart by `tie`. It ends when the target is met within
     `slack` of a leaf or the cell is one point.
     """
-    nodes = [{"id": 1, "k": shards}]
+    nodes = [{"id": 1, "first": 0, "room": room}]
     tree: list[dict] = []
     spans = None
     while nodes:
-        todo = [n for n in nodes if n["k"] > 1]
+        todo = [n for n in nodes if len(n["room"]) > 1]
         if not todo:
             break
         at = points.withColumn("node", walk(tree, dims))
@@ -53,12 +53,9 @@ def fit_tree(points: DataFrame, dims: list[str], shards: int, slack: float = 0.0
                 continue
             dim = max(dims, key=lambda d: (r[f"hi_{d}"] - r[f"lo_{d}"]) / spans[d])
             phase = "dim" if r[f"hi_{dim}"] > r[f"lo_{dim}"] else "tie"
-            s = {"node": n["id"], "k": n["k"], "dim": dim, "phase": phase, "value": r[f"lo_{dim}"], "lo": r[f"lo_{dim}" if phase == "dim" else "lo_tie"], "hi": r[f"hi_{dim}" if phase == "dim" else "hi_tie"], "target": r["w"] * (n["k"] // 2) / n["k"], "below": 0, "slack": slack * r["w"] / n["k"], "done": False, "tie_lo": r["lo_tie"], "tie_hi": r["hi_tie"]}
+            s = {"node": n["id"], "first": n["first"], "room": n["room"], "dim": dim, "phase": phase, "value": r[f"lo_{dim}"], "lo": r[f"lo_{dim}" if phase == "dim" else "lo_tie"], "hi": r[f"hi_{dim}" if phase == "dim" else "hi_tie"], "target": r["w"] * sum(n["room"][: len(n["room"]) // 2]) / (sum(n["room"]) or 1), "below": 0, "slack": slack * r["w"] / len(n["room"]), "done": False, "tie_lo": r["lo_tie"], "tie_hi": r["hi_tie"]}
             state.append(s)
-        for _ in range(most_passes):
-            open_ = [s for s in state if not s["done"]]
-            if not open_:
-                break
+        while open_ := [s for s in state if not s["done"]]:  # each pass leaves a 512th of a span; two spans of 63 bits at most
             pick = lambda key, s=open_: F.element_at(F.create_map(*[F.lit(v) for x in s for v in (x["node"], x[key])]), F.col("node"))
             rows = at.filter(F.col("node").isin([s["node"] for s in open_]))
             rows = rows.select("node", "w", "tie", _pick_dim(open_, dims).alias("x"), pick("lo").alias("lo"), pick("hi").alias("hi"), pick("value").alias("value"), pick("phase").alias("phase"))
@@ -73,7 +70,9 @@ def fit_tree(points: DataFrame, dims: list[str], shards: int, slack: float = 0.0
         for s in state:
             left, right = 2 * s["node"], 2 * s["node"] + 1
             tree.append({"node": s["node"], "left": left, "right": right, "dim": s["dim"], "value": s["value"], "tie": s.get("cut", s["lo"])})
-            nodes += [{"id": left, "k": s["k"] // 2}, {"id": right, "k": s["k"] - s["k"] // 2}]
+            half = len(s["room"]) // 2
+            nodes += [{"id": left, "first": s["first"], "room": s["room"][:half]}, {"id": right, "first": s["first"] + half, "room": s["room"][half:]}]
+            tree[-1] |= {"first": {left: s["first"], right: s["first"] + half}}
     return tree
 
 
@@ -131,8 +130,9 @@ def shard(docs: DataFrame, *, shards: int = 40, text: str = "text", nominal: tup
     """Shards of near equal bytes: a k-d tree over text length, source and language, cut at weighted medians.
 
     Equal texts are one point (bytes summed, the least of their codes), so copies share a shard and the tree reads one row a
-    text; a group of more than `heavy` of a shard's bytes is dealt document by document instead (there are at most
-    shards / heavy of them). Null texts count as empty, null metadata as code 0, and columns besides those named are
+    text. Groups of more than `heavy` of a shard's bytes (at most shards / heavy of them) are placed first, each whole in the
+    emptiest shard, and the tree fills what room is left; only a group that no shard has room for is dealt document by
+    document, as equal bytes ask. Null texts count as empty, null metadata as code 0, and columns besides those named are
     ignored. Slots are numbered within a shard over `salt` parts, so no task holds a whole shard. Repeated rows keep a slot
     each; an empty table gives no rows.
     """
@@ -143,16 +143,27 @@ def shard(docs: DataFrame, *, shards: int = 40, text: str = "text", nominal: tup
     total = base.agg(F.sum("size")).first()[0] or 0
     codes = dims[1:]
     grouped = base.groupBy("g").agg(F.sum("size").alias("w"), F.min("bytes").alias("bytes"), *[F.min(c).alias(c) for c in codes])
-    large = [r.g for r in grouped.filter((F.col("w") > total / shards * heavy) & (F.col("w") > F.col("bytes"))).select("g").collect()]
-    alone = F.col("g").isin(large) if large else F.lit(False)
-    groups = grouped.filter(~alone).withColumn("tie", F.shiftrightunsigned(F.xxhash64("g"), 3))
+    large = sorted((-r.w, r.g) for r in grouped.filter((F.col("w") > total / shards * heavy) & (F.col("w") > F.col("bytes"))).select("w", "g").collect())
+    load, whole, split = [0] * shards, {}, []
+    for w, g in large:
+        i = min(range(shards), key=load.__getitem__)
+        if load[i] - w <= total / shards * 1.005:
+            load[i] -= w
+            whole[g] = i
+        else:
+            split.append(g)
+    alone, is_whole = (F.col("g").isin(list(x)) if x else F.lit(False) for x in (split, whole))
+    groups = grouped.filter(~alone & ~is_whole).withColumn("tie", F.shiftrightunsigned(F.xxhash64("g"), 3))
     single = base.filter(alone)
     points = groups.select("w", "tie", *dims).unionByName(single.select(F.col("size").alias("w"), F.col("own").alias("tie"), *dims))
     points = materialize(points, "shard-points")
-    tree = fit_tree(points, dims, shards)
+    tree = fit_tree(points, dims, [max(0.0, total / shards - x) for x in load])
     leaves = sorted({c for t in tree for c in (t["left"], t["right"])} - {t["node"] for t in tree}) or [1]
-    number = F.element_at(F.create_map(*[F.lit(v) for i, n in enumerate(leaves) for v in (n, i)]), walk(tree, dims)).alias("shard")
+    first = {1: 0} | {n: i for t in tree for n, i in t["first"].items()}
+    number = F.element_at(F.create_map(*[F.lit(v) for n in leaves for v in (n, first[n])]), walk(tree, dims)).alias("shard")
     of_group = groups.select("g", number)
+    if whole:
+        of_group = of_group.unionByName(grouped.filter(is_whole).select("g", F.element_at(F.create_map(*[F.lit(v) for g, i in whole.items() for v in (g, i)]), F.col("g")).alias("shard")))
     placed = base.filter(~alone).select("doc_id", "size", "text_crc32", "g", "own").join(of_group, "g")
     placed = placed.unionByName(single.withColumn("tie", F.col("own")).select("doc_id", "size", "text_crc32", "g", "own", number))
     placed = materialize(placed.withColumn("part", F.pmod(F.col("own"), F.lit(salt)).cast("int")), "shard-placed")
