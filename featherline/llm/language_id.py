@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from featherline.llm.common import fold, table
 
 SPACE = 1 << 16  # hashed n-grams
-_OTHER = re.compile(r"[\W\d_]+")
+#: Anything but letters; \w also takes numerals such as Roman ones and fractions.
+_OTHER = re.compile(r"[\W\d_" + "".join(c for c in map(chr, range(0xB0, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]+")
 
 
 def grams(text: str | None) -> np.ndarray:
@@ -40,7 +41,11 @@ class Model:
         g = grams(text)
         if not len(g) or not self.langs:
             return "und", 0.0
-        z = (self.weights.take(g, 0).mean(0, dtype=np.float64) + self.bias) / self.temperature
+        if len(g) < SPACE // 8:
+            z = self.weights.take(g, 0).mean(0, dtype=np.float64)
+        else:  # long texts by counts, so that memory doesn't grow with them
+            z = np.bincount(g, minlength=SPACE) @ self.weights / len(g)
+        z = (z + self.bias) / self.temperature
         e = np.exp(z - z.max())
         i = int(e.argmax())
         return self.langs[i], float(e[i] / e.sum())
