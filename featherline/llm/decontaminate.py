@@ -11,12 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import materialize, row_ids, table
+from featherline.llm.common import materialize, row_ids, table, unused
 
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MULTIPLY = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
-#: More benchmark fingerprints than this are not sent to the tasks; then all document fingerprints take part in the join.
+#: More rows of benchmark fingerprints than this are not sent to the tasks; then all document fingerprints take part in the join.
 MOST_SENT = 2_000_000
 
 
@@ -26,10 +26,10 @@ def contract_words(text: str | None) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words; at most a million are remembered."""
+    """64-bit hashes of words; at most 200,000 are remembered (about 30 MB)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -121,13 +121,13 @@ def hits(docs: DataFrame, items: DataFrame, *, window: int = 10, k: int = 6, doc
     item_marks = own_items.select(F.col("id").alias("item_id"), F.explode("marks").alias("i")).select("item_id", "i.*")
     short = sorted(r.n_words for r in own_items.filter((F.col("n_words") < window) & (F.col("n_words") > 0)).select("n_words").distinct().collect())
     distinct = item_marks.select("h").distinct()
-    few = distinct.count() <= MOST_SENT
+    few = item_marks.count() <= MOST_SENT
     sent = np.sort(np.array([r.h for r in distinct.collect()], np.int64).view(np.uint64)) if few else None
     texts = materialize(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(mark(sent, short), schema), "doc-marks")
     found = texts.select("rid", F.explode("marks").alias("d")).select("rid", *[F.col(f"d.{c}").alias(c) for c in ("h", "size", "pos", "gram", "left", "right")])
     of_items = item_marks.select("item_id", F.col("h").alias("ih"), F.col("size").alias("isize"), F.col("gram").alias("igram"), F.col("left").alias("ileft"), F.col("right").alias("iright"))
     if few:
-        of_items = F.broadcast(of_items)  # at most MOST_SENT different fingerprints
+        of_items = F.broadcast(of_items)  # at most MOST_SENT rows of at most window words
     pairs = found.join(of_items, (F.col("h") == F.col("ih")) & (F.col("size") == F.col("isize")) & (F.col("gram") == F.col("igram")))
     reach = window - k
 
@@ -161,11 +161,14 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """Rows of docs, with all their columns, that hold no window of an item. Texts are told apart by 64-bit hashes."""
-    found = contamination(docs.select(F.xxhash64(text).alias("doc_id"), F.col(text).alias("text")), items, **options).filter("contaminated")
-    found = materialize(found.select(F.col("doc_id").alias("_text_hash")).distinct(), "contaminated")
+    """Rows of docs, with all their columns, whatever their names, that hold no window of an item. Texts are told apart by
+    64-bit hashes; null and empty texts, which hold none, stay; repeated rows go or stay together; empty tables work."""
+    found = contamination(docs.select(F.xxhash64(F.col(f"`{text}`")).alias("doc_id"), F.col(f"`{text}`").alias("text")), items, **options).filter("contaminated")
+    own, other = unused(docs.columns, "hash", "found")
+    found = materialize(found.select(F.col("doc_id").alias(other)).distinct(), "contaminated")
     few = found.count() <= MOST_SENT
-    return docs.withColumn("_text_hash", F.xxhash64(text)).join(F.broadcast(found) if few else found, "_text_hash", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    hashed = docs.withColumn(own, F.xxhash64(F.col(f"`{text}`")))
+    return hashed.join(F.broadcast(found) if few else found, F.col(own) == F.col(other), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

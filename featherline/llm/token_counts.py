@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featherline.llm.common import table
+from featherline.llm.common import materialize, table
 from featherline.llm.encode import default_path, encoder
 
 
@@ -33,9 +33,9 @@ def encoded_lengths(docs: DataFrame, *, text: str = "text", tokenizer_path: str
 def suffix_sums(histogram: DataFrame, block: int = 1024) -> DataFrame:
     """Adds, for the context limit `length`: docs_over (documents longer than it), tokens_over (their tokens),
     tokens_total (of all documents), truncated_total (tokens left if each document is cut at the limit), docs_rank (documents
-    of at most that length). Sums run within blocks of lengths and over the blocks' totals, so no task reads all lengths.
+    of at most that length). The histogram, which two joined parts read, is written first, so texts are encoded once. Sums run within blocks of lengths and over the blocks' totals, so no task reads all lengths.
     """
-    h = histogram.withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("_block", F.floor(F.col("length") / block))
+    h = materialize(histogram, "lengths").withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("_block", F.floor(F.col("length") / block))
     after = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     totals = h.groupBy("_block").agg(F.sum("n_docs").alias("_d"), F.sum("n_tokens").alias("_t"))
     totals = totals.select("_block", F.coalesce(F.sum("_d").over(after), F.lit(0)).alias("_da"), F.coalesce(F.sum("_t").over(after), F.lit(0)).alias("_ta"), F.sum("_d").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"), F.sum("_t").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("tokens_total"))
