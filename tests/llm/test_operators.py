@@ -1,8 +1,10 @@
 """Each operator against brute force, and on odd and empty tables."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
@@ -19,9 +21,7 @@ tokenizers = pytest.importorskip("tokenizers")
 
 @pytest.fixture(scope="module")
 def reference():
-    t = tokenizers.Tokenizer.from_file(default_path())
-    t.encode_special_tokens = True
-    return t
+    return tokenizers.Tokenizer.from_file(default_path())
 
 
 def docs(spark, texts):
@@ -166,6 +166,15 @@ def test_contamination_without_sent_fingerprints(spark, monkeypatch):
     assert sorted(((x.doc_id, x.n_words, x.n_hit, x["items"]) for x in got.collect()), key=str) == brute_contamination(texts, items)
 
 
+def test_uncontaminated_rows_may_have_any_names(spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    rows = [(1, "One two three four five six seven eight nine ten!", "a", 1), (2, "clean", "b", 2), (3, None, "c", 3), (2, "clean", "b", 2)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _text_hash string, _hash_ int")
+    kept = decontaminate.keep_uncontaminated(table, items)
+    assert kept.columns == table.columns and sorted(map(tuple, kept.collect())) == [rows[1], rows[1], rows[2]]
+    assert decontaminate.keep_uncontaminated(table, items.limit(0)).count() == 4 and decontaminate.keep_uncontaminated(table.limit(0), items).count() == 0
+
+
 def test_winnowing_guarantee():
     r = np.random.default_rng(3)
     g = r.integers(0, 50, 400).astype(np.uint64)
@@ -190,6 +199,44 @@ def test_language(spark, small, odd, none):
     assert {r.lang_pred for r in language_id.predict(odd, empty).collect()} == {"und"} and language_id.keep_known(odd, empty).count() == 7
 
 
+def test_letters_make_a_language():
+    model = language_id.Model(["a", "b"], np.random.default_rng(1).normal(size=(language_id.SPACE, 2)).astype(np.float32), np.zeros(2), 1.0)
+    for text in ("½ ²", "²³¼", "Ⅷ ⅷ", "", None, "12 _ -", "٣٤", "🙂"):
+        assert model.predict(text) == ("und", 0.0)
+    for text in ("x", "½ é", "日本"):
+        assert model.predict(text)[0] in "ab"
+    many = "the quick brown fox " * 3000  # by counts
+    g = language_id.grams(many)
+    z = model.weights[g].astype(float).mean(0)
+    assert model.predict(many)[1] == pytest.approx(float(np.exp(z.max()) / np.exp(z).sum()))
+
+
+def test_ftrl_against_its_definition():
+    """One feature and two classes, step by step from the published update."""
+    x, y, alpha, beta, l1, l2 = [0.5, 2.0, 1.0], [0, 1, 0], 0.5, 1.0, 0.02, 0.05
+    w, bias = language_id.ftrl([(np.array([3]), np.array([v])) for v in x], np.array(y), 2, epochs=1)
+    order = np.random.default_rng(7).permutation(3)
+    z, n = np.zeros((2, 2)), np.zeros((2, 2))
+    of = lambda: np.array([[0.0 if abs(a) <= l1 else -(a - math.copysign(l1, a)) / ((beta + math.sqrt(b)) / alpha + l2) for a, b in zip(p, q, strict=True)] for p, q in zip(z, n, strict=True)])
+    for e in order:
+        v, now = np.array([x[e], 1.0]), of()
+        p = np.exp(v @ now) / np.exp(v @ now).sum()
+        for f in range(2):
+            for c in range(2):
+                g = v[f] * (p[c] - (y[e] == c))
+                sigma = (math.sqrt(n[f, c] + g * g) - math.sqrt(n[f, c])) / alpha
+                z[f, c] += g - sigma * now[f, c]
+                n[f, c] += g * g
+    assert w[3] == pytest.approx(of()[0]) and bias == pytest.approx(of()[1]) and not w[:3].any()
+
+
+def test_language_of_repeated_rows_and_ties(spark):
+    rows = [(i, "alpha beta gamma", lang) for i, lang in enumerate(["x", "y"] * 10)] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.predict(table, language_id.fit(table)).collect()
+    assert len(got) == 40 and len({(r.lang_pred, r.score) for r in got}) == 1 and got[0].lang_pred in "xy"
+
+
 def test_temperature():
     r = np.random.default_rng(0)
     z = r.normal(size=(4000, 3)) * 3
@@ -216,14 +263,42 @@ def test_toxicity(spark, odd, none):
 
 
 def test_block_search_is_exact(spark):
-    index = toxicity.fit(spark.createDataFrame(toxic_rows(), "doc_id long, text string, toxic int"))
-    r = np.random.default_rng(1)
-    for _ in range(50):
-        c = {int(i): int(r.integers(1, 4)) for i in r.choice(len(index.terms), min(3, len(index.terms)), replace=False)}
-        i, v = index.vector(c)
-        s = np.round(v @ index.weights[i], 9)
-        want = np.lexsort((np.arange(len(s)), -s))[: index.k]
-        assert index.nearest(c)[0].tolist() == want.tolist()
+    """The nearest examples and their cosines, against TF-IDF vectors of all words made by hand."""
+    rows = toxic_rows() + [(1000 + i, None, i % 2) for i in range(3)] + toxic_rows()[:20]
+    index = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    words = lambda x: Counter(re.findall(r"[^\W\d_]+", (x or "").lower()))
+    df = Counter(t for _, x, _ in rows for t in {t for w in words(x) for t in toxicity.terms_of(w)})
+    toxic = Counter(t for _, x, y in rows if y for t in {t for w in words(x) for t in toxicity.terms_of(w)})
+    tells = {t for t in df if toxic[t] >= 3 and toxic[t] >= 0.5 * df[t]}
+    assert set(index.terms) == {w for _, x, _ in rows for w in words(x)} | tells and {t for t, y in zip(index.terms, index.telling, strict=True) if y} == tells
+
+    def vector(x):
+        c = Counter()
+        for w, n in words(x).items():
+            for t in toxicity.terms_of(w):
+                if t in tells or t == w:
+                    c[t] += n
+        v = {t: (1 + math.log(n)) * (math.log((1 + len(rows)) / (1 + df[t])) + 1) * (1 if t in tells else 0.05) for t, n in c.items() if df[t]}
+        length = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {t: x / length for t, x in v.items()}
+
+    by_id = defaultdict(list)
+    for key, x, _ in rows:
+        by_id[key].append(vector(x))
+    examples = [by_id[int(i)][0] for i in index.ids]
+    score = index.scorer()
+    for text in [x for _, x, _ in rows[:25]] + [" ".join(x.split()[::3]) for _, x, _ in rows[:25]] + ["loweiung", "nothing known", ""]:
+        q = vector(text)
+        want = sorted((s for e in examples if (s := sum(x * e.get(t, 0) for t, x in q.items())) > 1e-12), reverse=True)[: index.k]
+        _, ids, cosines, _ = score(text)
+        assert cosines == pytest.approx(want, abs=1e-5) and len(ids) == len(want)
+
+
+def test_any_label_but_zero_is_toxic(spark):
+    rows = toxic_rows()
+    fit = lambda k: toxicity.fit(spark.createDataFrame([(a, b, c * k) for a, b, c in rows], "doc_id long, text string, toxic int"))
+    one, two = fit(1), fit(-7)
+    assert one.terms == two.terms and one.label.tolist() == two.label.tolist() and set(one.label) == {0.0, 1.0}
 
 
 def test_isotonic():
@@ -286,6 +361,21 @@ def test_shards(spark, small, odd, none):
     assert sharding.shard(odd, shards=3).count() == odd.count()
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Groups up to a whole shard stay whole, and bytes are near equal all the same."""
+    r = random.Random(3)
+    texts = [x for n in (1, 2, 60, 150, 300, 390) for x in ["y" * (n + 900)] * n] + ["".join(r.choices("abcdef ", k=r.randrange(100, 1500))) for _ in range(3000)]
+    got = sharding.shard(docs(spark, texts).withColumns({"source": F.lit("a"), "lang": F.lit(None).cast("string")}), shards=10).collect()
+    by = defaultdict(set)
+    for x in got:
+        by[x.text_crc32].add(x["shard"])
+    assert max(map(len, by.values())) == 1 and len(got) == len(texts)
+    total = Counter()
+    for x in got:
+        total[x["shard"]] += x["size"]
+    assert len(total) == 10 and max(total.values()) < 1.05 * sum(total.values()) / 10 and min(total.values()) > 0.95 * sum(total.values()) / 10
+
+
 def test_shards_use_no_python(spark, small):
     plan = sharding.op6_sharding(spark, small)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -319,6 +409,26 @@ def test_pages_beyond_sent_hosts(spark):
     assert {r.page_id: r.text for r in got.collect()} == {i: TEXT % i for i in range(9)}
 
 
+@pytest.mark.parametrize(("part", "kept"), [("<div class='related-work'>kept</div>", True), ("<div class='form-factor'>kept</div>", True), ("<div class='platform-form'>kept</div>", True), ("<p><math><mi>kept</mi></math></p>", True), ("<div class='related-posts'>kept</div>", False), ("<div class='ad ad-slot-3'>kept</div>", False), ("<form>kept</form>", False)])
+def test_parts_of_articles(part, kept):
+    page = html_extraction.parse(f"<body><article><p>{'Some words of the article. ' * 9}</p>{part}</article></body>")
+    assert ("kept" in html_extraction.extract(page, None)) == kept
+
+
+def test_pages_take_time_in_proportion():
+    """A megabyte of tags that don't end, of quotes that don't close, of deep and of unclosed elements: each within seconds."""
+    article = f"<article><p>{'Some words of the article. ' * 9}</p></article>"
+    for part in ("<a ", "<a \">\"", "<!", "<!--", "<svg>", "<div>", "</p>", "<p>x", "<", "<a href='", "<div class='a b'><p>x</div>", "&amp", "</div>", "<li>"):
+        many = article + part * (1_000_000 // len(part)) + ("x>" if part == "<a " else "")
+        t = time.process_time()
+        text = html_extraction.extract(html_extraction.parse(many), None)
+        assert time.process_time() - t < 30 and "Some words of the article." in text
+    deep = "<div class='level'>" * 20_000 + "deep text" + "</div>" * 20_000
+    page = html_extraction.parse(article + deep)
+    assert html_extraction.extract(page, None) and "deep text" in html_extraction.extract(html_extraction.parse(deep), None)
+    assert sum(len(n.path) for n in page.nodes) < 20_000 * 600
+
+
 @pytest.mark.parametrize("html", ["<", "<<>><p", "<script>var x", "</p></div>", "<div " * 500, "<p>" * 3000 + "x", "<a href='" + "y" * 9999, "&#xD800;&#0;&bogus;", "<div>" * 2000 + "deep"])
 def test_broken_pages(html):
     html_extraction.extract(html_extraction.parse(html), None)
