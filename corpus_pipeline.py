@@ -12,28 +12,49 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score 0.3 or more go; learnt from those that have a label."""
+    """Documents that score 0.3 or more go; learnt from those that have a label, outside fold 2.
+
+    Null and empty texts score as texts without words and stay unless those are mostly toxic. Repeated rows and equal texts go
+    or stay together; a document labelled twice counts as toxic if either label says so. Without labels all stay; an empty
+    table stays empty. All columns stay, whatever their names.
+    """
     index = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
     return toxicity.keep_clean(docs, index)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters or with a language that scores below 0.4 go; learnt from those that have one."""
+    """Documents without letters, null and empty texts among them, or with a language that scores below 0.4 go; learnt from those that have one.
+
+    Without any language, all texts with letters stay. Equal texts go or stay together; of languages that tie the first by
+    name is taken. An empty table stays empty. All columns stay, whatever their names.
+    """
     return language_id.keep_known(docs, language_id.fit(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of texts with a Jaccard similarity of 0.8 or more stays."""
+    """One document of each class of texts with a Jaccard similarity of 0.8 or more stays: the least doc_id, null first.
+
+    Texts without words, null and empty ones too, are classes of their own. Of rows that repeat both id and text one stays. An
+    empty table stays empty. All columns stay, whatever their names.
+    """
     return lsh_forest.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold ten words in a row of a benchmark item, or all of a shorter one, go."""
+    """Documents that hold ten words in a row of a benchmark item, or all of a shorter one, go.
+
+    Null and empty texts stay; items without words match nothing; equal texts go or stay together. An empty table stays
+    empty, an empty benchmark takes nothing. All columns stay, whatever their names.
+    """
     return decontaminate.keep_uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 1024 tokens, with their ids."""
+    """Pieces of sequences of at most 1024 tokens, with their ids.
+
+    Null and empty texts are their end token alone; repeated rows are packed each; of cuts that tie the earliest is taken. An
+    empty table gives no pieces. Other columns are not read.
+    """
     return packing.pack(docs)
 
 
