@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,20 +29,46 @@ def terms_of(word: str) -> list[str]:
 
 
 class Matcher(dict):
-    """Maps words to the numbers of the terms they hold; at most `most` words are remembered."""
+    """Maps what stands between white space to the numbers of the terms in it; at most `most` such parts are remembered.
 
-    def __init__(self, terms: list[str], most: int = 100_000):
-        self.number, self.most = {t: i for i, t in enumerate(terms)}, most
+    Words hold no white space, so a text's parts may be counted before they are looked at.
+    """
+
+    def __init__(self, terms: list[str], most: int = 200_000):
+        self.words, self.begin = ({t.rstrip("*"): i for i, t in enumerate(terms) if t.endswith("*") == y} for y in (False, True))
+        self.most = most
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, part: str) -> tuple[int, ...]:
         if len(self) >= self.most:
             self.clear()
-        found = self[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
+        found = []
+        for w in (part,) if part.isalpha() else _LETTERS.findall(part):
+            found += [i for i in (self.words.get(w), *(self.begin.get(w[:n]) for n in PREFIXES if len(w) > n)) if i is not None]
+        found = self[part] = tuple(found)
         return found
 
-    def counts(self, text: str | None) -> Counter:
+    def counts(self, text: str | None) -> dict[int, int]:
         """Occurrences of each term in a whole text; the null text has none."""
-        return Counter(i for t in map(self.__getitem__, _LETTERS.findall((text or "").lower())) if t for i in t)
+        out: dict[int, int] = {}
+        get = out.get
+        for part, n in Counter((text or "").lower().split()).items():
+            for i in self[part]:
+                out[i] = get(i, 0) + n
+        return out
+
+
+class Terms(dict):
+    """Maps what stands between white space to the terms in it; at most `most` such parts are remembered."""
+
+    def __missing__(self, part: str, most: int = 50_000) -> tuple[str, ...]:
+        if len(self) >= most:
+            self.clear()
+        found = self[part] = tuple(t for w in ((part,) if part.isalpha() else _LETTERS.findall(part)) for t in terms_of(w))
+        return found
+
+    def of(self, text: str | None) -> set[str]:
+        """The different terms of a whole text."""
+        return set(chain.from_iterable(map(self.__getitem__, set((text or "").lower().split()))))
 
 
 def _ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -51,15 +78,26 @@ def _ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Postings:
-    """Weights of terms in examples: entries by term and example, and runs of them that share term and block, with the greatest weight of each."""
+    """Weights of terms in examples, in blocks of examples.
+
+    A term that at least one in 48 examples hold has a column of all its weights. Any other term has entries by example, and
+    runs of them that share a block, with the greatest weight of each.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int):
         term = np.concatenate([np.empty(0, int), *(i for i, _ in vectors)])
         example = np.repeat(np.arange(len(vectors)), [len(i) for i, _ in vectors])
+        weight = np.concatenate([np.empty(0), *(v for _, v in vectors)]).astype(np.float32)
+        self.examples, self.block, self.blocks = len(vectors), block, -(-len(vectors) // block)
+        often = np.flatnonzero(48 * np.bincount(term, minlength=terms) >= max(48, self.examples))
+        self.column = np.full(terms, -1)
+        self.column[often] = np.arange(len(often))
+        self.columns = np.zeros((self.blocks * block, len(often)), np.float32)
+        in_column = self.column[term] >= 0
+        self.columns[example[in_column], self.column[term[in_column]]] = weight[in_column]
+        term, example, weight = (x[~in_column] for x in (term, example, weight))
         order = np.lexsort((example, term))
-        term, self.at = term[order], example[order].astype(np.int32)
-        self.weight = np.concatenate([np.empty(0), *(v for _, v in vectors)])[order].astype(np.float32)
-        self.start, self.examples, self.blocks = np.searchsorted(term, np.arange(terms + 1)), len(vectors), -(-len(vectors) // block)
+        term, self.at, self.weight = term[order], example[order], weight[order]
         run = term * max(1, self.blocks) + self.at // block
         first = np.flatnonzero(np.diff(run, prepend=-1))
         self.run_at, self.run_block = np.append(first, len(run)), self.at[first] // block
@@ -94,33 +132,54 @@ class Index:
         i, v = i[order], v[order]
         return i, v / np.sqrt(max(v @ v, 1e-300))
 
-    def nearest(self, counts: dict[int, int], leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of greatest cosine above 0, ties to the lower number: blocks by falling bound, ever more at once, until no bound beats the k-th."""
-        i, v = self.vector(counts)
-        p = self.postings
-        a, b = p.run_start[i], p.run_start[i + 1]
-        runs, value = _ranges(a, b), np.repeat(v, b - a)
-        blocks = p.run_block[runs]
-        bound = np.bincount(blocks, value * p.run_most[runs], p.blocks)
-        order = np.argsort(-bound, kind="stable")
-        rank = np.empty(p.blocks, int)
-        rank[order] = np.arange(p.blocks)
-        rank = rank[blocks]
-        best_n, best_s = np.empty(0, int), np.empty(0)
-        done, wide = 0, 4
-        while done < p.blocks and bound[order[done]] > 0 and not (len(best_s) >= self.k and bound[order[done]] < best_s[self.k - 1] - 1e-6):
-            end = min(done + wide, p.blocks)
-            some = np.flatnonzero((rank >= done) & (rank < end))
-            a, b = p.run_at[runs[some]], p.run_at[runs[some] + 1]
-            at = _ranges(a, b)
-            s = np.bincount(p.at[at], np.repeat(value[some], b - a) * p.weight[at], p.examples)
-            n = np.flatnonzero(s > (best_s[self.k - 1] - 1e-6 if len(best_s) >= self.k else 0))
-            n = n[n != leave_out]
-            best_n, best_s = np.concatenate([best_n, n]), np.concatenate([best_s, s[n]])
-            keep = np.lexsort((best_n, -np.round(best_s, 9)))[: self.k]
-            best_n, best_s = best_n[keep], best_s[keep]
-            done, wide = end, 2 * wide
-        return best_n, best_s
+    def nearest(self, texts: list[dict[int, int]], leave_out: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For the counts of some texts: the k examples of greatest cosine above 0, ties (to 6 digits) to the lower number.
+
+        What terms with columns add is had for all examples at once, and is the least that a cosine can be; with the greatest
+        weights of the other terms it bounds each block. Blocks are read by falling bound, ever more at once, until no bound
+        beats the k-th cosine.
+        """
+        p, out = self.postings, []
+        vectors = [self.vector(c) for c in texts]
+        asked = np.zeros((p.columns.shape[1], len(texts)), np.float32)
+        for n, (i, v) in enumerate(vectors):
+            at = p.column[i]
+            asked[at[at >= 0], n] = v[at >= 0]
+        known = (p.columns @ asked).T.astype(np.float64)
+        for n, (i, v) in enumerate(vectors):
+            least = known[n]
+            if leave_out is not None:
+                least[leave_out[n]] = -np.inf
+            rest = p.column[i] < 0
+            i, v = i[rest], v[rest]
+            a, b = p.run_start[i], p.run_start[i + 1]
+            runs, value = _ranges(a, b), np.repeat(v, b - a)
+            blocks = p.run_block[runs]
+            bound = least.reshape(p.blocks, p.block).max(1) + np.bincount(blocks, value * p.run_most[runs], p.blocks)
+            kth = -np.partition(-least, self.k - 1)[self.k - 1] if len(least) >= self.k else 0.0
+            order = np.argsort(-bound, kind="stable")
+            order = order[bound[order] >= max(kth - 1e-5, 1e-9)]
+            rank = np.full(p.blocks, p.blocks)
+            rank[order] = np.arange(len(order))
+            rank = rank[blocks]
+            best_n, best_s = np.empty(0, int), np.empty(0)
+            done, wide = 0, 8
+            while done < len(order) and not (len(best_s) >= self.k and bound[order[done]] < best_s[self.k - 1] - 1e-5):
+                end = min(done + wide, len(order))
+                some = np.flatnonzero((rank >= done) & (rank < end))
+                first = p.run_at[runs[some]]
+                size = p.run_at[runs[some] + 1] - first
+                at = np.repeat(first - np.cumsum(size) + size, size)
+                at += np.arange(len(at))
+                s = np.bincount(p.at[at], np.repeat(value[some], size) * p.weight[at], len(least)) + least
+                new = (order[done:end, None] * p.block + np.arange(p.block)).ravel()
+                new = new[s[new] > max(1e-9, best_s[self.k - 1] - 1e-5 if len(best_s) >= self.k else kth - 1e-5)]
+                best_n, best_s = np.concatenate([best_n, new]), np.concatenate([best_s, s[new]])
+                keep = np.lexsort((best_n, -np.round(best_s, 6)))[: self.k]
+                best_n, best_s = best_n[keep], best_s[keep]
+                done, wide = end, 2 * wide
+            out.append((best_n, np.minimum(best_s, 1.0)))
+        return out
 
     def vote(self, n: np.ndarray, s: np.ndarray) -> float:
         if not len(n):
@@ -128,24 +187,24 @@ class Index:
         w = self.stand_for[n] / (0.02 + np.maximum(0, 1 - s))
         return float(w @ self.label[n] / w.sum())
 
-    def score(self, counts: dict[int, int]) -> tuple[float, np.ndarray, np.ndarray]:
-        n, s = self.nearest(counts)
-        return float(np.interp(self.vote(n, s), *self.steps)), n, s
-
-    def scorer(self, most: int = 20_000):
-        """(score, neighbours, cosines, telling terms found) of texts; some thousand copies are remembered."""
+    def scorer(self, most: int = 20_000, together: int = 64):
+        """A function of some texts: (score, neighbours, cosines, telling terms found) of each. Some thousand copies are remembered."""
         m, known = Matcher(self.terms), {}
 
-        def of(text: str | None):
-            key = xxhash.xxh3_128_digest((text or "").encode("utf-8", "replace"))
-            found = known.get(key)
-            if found is None:
-                if len(known) >= most:
-                    known.clear()
-                c = m.counts(text)
-                p, n, s = self.score(c)
-                found = known[key] = p, self.ids[n].tolist(), s.tolist(), [self.terms[i] for i in sorted(c) if self.telling[i]]
-            return found
+        def of(texts: list[str | None]) -> list[tuple]:
+            keys = [xxhash.xxh3_128_digest((x or "").encode("utf-8", "replace")) for x in texts]
+            new = {k: x for k, x in zip(keys, texts, strict=True) if k not in known}
+            found = {k: known[k] for k in keys if k in known}
+            counts = {k: m.counts(x) for k, x in new.items()}
+            todo = list(counts)
+            for a in range(0, len(todo), together):
+                for k, (n, s) in zip(todo[a : a + together], self.nearest([counts[k] for k in todo[a : a + together]]), strict=True):
+                    p = float(np.interp(self.vote(n, s), *self.steps))
+                    found[k] = p, self.ids[n].tolist(), s.tolist(), [self.terms[i] for i in sorted(counts[k]) if self.telling[i]]
+            if len(known) + len(todo) > most:
+                known.clear()
+            known.update((k, found[k]) for k in todo[:most])
+            return [found[k] for k in keys]
 
         return of
 
@@ -190,10 +249,10 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
             toxic.clear()
             return out
 
-        n, toxic = Counter(), Counter()
+        n, toxic, terms_in = Counter(), Counter(), Terms()
         for b in batches:
             for y, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                own = {t for w in set(_LETTERS.findall((x.as_py() or "").lower())) for t in terms_of(w)}
+                own = terms_in.of(x.as_py())
                 n.update(own)
                 if y == 1:
                     toxic.update(own)
@@ -208,7 +267,7 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [Counter(_LETTERS.findall((x.as_py() or "").lower())) for x in b.column(3)]
+            found = [Counter(_LETTERS.findall((x.as_py() or "").lower())) for x in b.column(3)]  # of the sample
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["u", "key", "y", "w", "c"])
 
     drawn = rows.withColumn("u", u).filter(F.col("u") < share)
@@ -241,7 +300,7 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
     index = Index(terms, telling, weight, None, np.array([y for _, _, y in got], float), np.array([n_of[y] / n_drawn[y] for _, _, y in got], float), np.array([-1 if k is None else k for _, k, _ in got], np.int64))
     index.postings = Postings([index.vector(c) for c in counts], len(terms), index.block)
     if got:
-        raw = np.array([index.vote(*index.nearest(c, leave_out=n)) for n, c in enumerate(counts)])
+        raw = np.array([index.vote(n, s) for a in range(0, len(counts), 64) for n, s in index.nearest(counts[a : a + 64], list(range(a, min(a + 64, len(counts)))))])
         index.steps = isotonic(raw, index.label, index.stand_for)
     return index
 
@@ -258,8 +317,8 @@ def score(docs: DataFrame, index: Index, *, text: str = "text", keep: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = index.scorer()
-        for b in batches:
-            cols = list(zip(*(of(x.as_py()) for x in b.column(len(keep))), strict=True)) or [[], [], [], []]
+        for b in (b.slice(i, 512) for whole in batches for i in range(0, max(1, whole.num_rows), 512) for b in [whole]):
+            cols = list(zip(*of(b.column(len(keep)).to_pylist()), strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.list_(pa.float32())), pa.array(cols[3], pa.list_(pa.string()))], names=[*keep, "score", "neighbours", "cosines", "terms"])
 
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
@@ -273,7 +332,8 @@ def keep_clean(docs: DataFrame, index: Index, *, text: str = "text", threshold:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = index.scorer()
         for b in batches:
-            yield b.filter(pa.array([of(x.as_py())[0] < threshold for x in b.column(at)], pa.bool_()))
+            keep = [found[0] < threshold for i in range(0, b.num_rows, 512) for found in of(b.column(at).slice(i, 512).to_pylist())]
+            yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

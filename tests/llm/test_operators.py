@@ -290,7 +290,7 @@ def test_block_search_is_exact(spark):
     for text in [x for _, x, _ in rows[:25]] + [" ".join(x.split()[::3]) for _, x, _ in rows[:25]] + ["loweiung", "nothing known", ""]:
         q = vector(text)
         want = sorted((s for e in examples if (s := sum(x * e.get(t, 0) for t, x in q.items())) > 1e-12), reverse=True)[: index.k]
-        _, ids, cosines, _ = score(text)
+        [(_, ids, cosines, _)] = score([text])
         assert cosines == pytest.approx(want, abs=1e-5) and len(ids) == len(want)
 
 
