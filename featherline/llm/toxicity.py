@@ -18,6 +18,7 @@ from featherline.llm.common import fold, materialize, table
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
+_MARKS = ".,;:!?\"'()[]-"  # no letters, and found at the ends of most parts that are no plain word
 
 #: Up to so many labels are sent to all tasks (16 MB); more are joined by a shuffle.
 MOST_SENT = 1_000_000
@@ -29,32 +30,49 @@ def terms_of(word: str) -> list[str]:
 
 
 class Matcher(dict):
-    """Maps what stands between white space to the numbers of the terms in it; at most `most` such parts are remembered.
+    """Maps what stands between white space to the number of the term in it: -1 if there is none, and numbers from the number
+    of terms on for several. About `most` such parts are remembered.
 
-    Words hold no white space, so a text's parts may be counted before they are looked at.
+    Words hold no white space, so a text may be cut there.
     """
 
     def __init__(self, terms: list[str], most: int = 200_000):
         self.words, self.begin = ({t.rstrip("*"): i for i, t in enumerate(terms) if t.endswith("*") == y} for y in (False, True))
-        self.most = most
-
-    def __missing__(self, part: str) -> tuple[int, ...]:
+        self.terms, self.most, self.begin4 = len(terms), most, {t[:4] for t in self.begin}
+        self.several: list[list[int]] = []
+
+    def __missing__(self, part: str) -> int:
+        found, bare = [], part.strip(_MARKS)
+        for w in (bare,) if bare.isalpha() else _LETTERS.findall(part):
+            i = self.words.get(w)
+            if i is not None:
+                found.append(i)
+            if w[:4] in self.begin4:
+                found += [i for n in PREFIXES if len(w) > n and (i := self.begin.get(w[:n])) is not None]
+        if len(found) > 1:
+            self.several.append(found)
+            found = [self.terms + len(self.several) - 1]
+        self[part] = found[0] if found else -1
+        return self[part]
+
+    def counts(self, parts: list[str], times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms, in order, of the parts of a text and how often each occurs."""
         if len(self) >= self.most:
             self.clear()
-        found = []
-        for w in (part,) if part.isalpha() else _LETTERS.findall(part):
-            found += [i for i in (self.words.get(w), *(self.begin.get(w[:n]) for n in PREFIXES if len(w) > n)) if i is not None]
-        found = self[part] = tuple(found)
-        return found
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        """Occurrences of each term in a whole text; the null text has none."""
-        out: dict[int, int] = {}
-        get = out.get
-        for part, n in Counter((text or "").lower().split()).items():
-            for i in self[part]:
-                out[i] = get(i, 0) + n
-        return out
+            self.several.clear()
+        i = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+        n = np.ones(len(i), np.int64) if times is None else times
+        if len(more := np.flatnonzero(i >= self.terms)):
+            lists = [self.several[x - self.terms] for x in i[more].tolist()]
+            n = np.concatenate([n, np.repeat(n[more], [len(x) for x in lists])])
+            i = np.concatenate([i, *map(np.array, lists)])
+        keep = (i >= 0) & (i < self.terms)
+        u, which = np.unique(i[keep], return_inverse=True)
+        return u, np.bincount(which, n[keep], len(u))
+
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a whole text; the null text has none."""
+        return self.counts((text or "").lower().split())
 
 
 class Terms(dict):
@@ -63,7 +81,8 @@ class Terms(dict):
     def __missing__(self, part: str, most: int = 50_000) -> tuple[str, ...]:
         if len(self) >= most:
             self.clear()
-        found = self[part] = tuple(t for w in ((part,) if part.isalpha() else _LETTERS.findall(part)) for t in terms_of(w))
+        bare = part.strip(_MARKS)
+        found = self[part] = tuple(t for w in ((bare,) if bare.isalpha() else _LETTERS.findall(part)) for t in terms_of(w))
         return found
 
     def of(self, text: str | None) -> set[str]:
@@ -125,14 +144,12 @@ class Index:
     k: int = 15
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0]), np.array([0.0])))
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        i = np.fromiter(counts, int, len(counts))
-        v = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weight[i]
-        order = np.argsort(i)  # sums don't depend on the order of the words
-        i, v = i[order], v[order]
+    def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        i, n = counts
+        v = (1 + np.log(n)) * self.weight[i]
         return i, v / np.sqrt(max(v @ v, 1e-300))
 
-    def nearest(self, texts: list[dict[int, int]], leave_out: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], leave_out: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For the counts of some texts: the k examples of greatest cosine above 0, ties (to 6 digits) to the lower number.
 
         What terms with columns add is had for all examples at once, and is the least that a cosine can be; with the greatest
@@ -195,12 +212,12 @@ class Index:
             keys = [xxhash.xxh3_128_digest((x or "").encode("utf-8", "replace")) for x in texts]
             new = {k: x for k, x in zip(keys, texts, strict=True) if k not in known}
             found = {k: known[k] for k in keys if k in known}
-            counts = {k: m.counts(x) for k, x in new.items()}
+            counts = {k: m.of(x) for k, x in new.items()}
             todo = list(counts)
             for a in range(0, len(todo), together):
                 for k, (n, s) in zip(todo[a : a + together], self.nearest([counts[k] for k in todo[a : a + together]]), strict=True):
                     p = float(np.interp(self.vote(n, s), *self.steps))
-                    found[k] = p, self.ids[n].tolist(), s.tolist(), [self.terms[i] for i in sorted(counts[k]) if self.telling[i]]
+                    found[k] = p, self.ids[n].tolist(), s.tolist(), [self.terms[i] for i in counts[k][0][self.telling[counts[k][0]]].tolist()]
             if len(known) + len(todo) > most:
                 known.clear()
             known.update((k, found[k]) for k in todo[:most])
@@ -278,25 +295,17 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
 
     tells = (F.col("toxic") >= support) & (F.col("toxic") >= precision * F.col("n"))
     of_examples = drawn.select(F.explode("w").alias("term")).distinct().withColumn("held", F.lit(True))
-    got_terms = seen.join(of_examples, "term", "left").select("term", "n", tells.alias("tells"), "held").filter("tells or held").select("term", "n", "tells").collect()
-    got_terms.sort(key=lambda r: (-r.n, r.term))
-    terms, total, telling = [r.term for r in got_terms], sum(n_of.values()), np.array([r.tells for r in got_terms], bool)
-    weight = (np.log((1 + total) / (1 + np.array([r.n for r in got_terms], float))) + 1) * np.where(telling, 1.0, plain)
-    number = Matcher(terms)
-
-    got, counts = [], []
-    for r in drawn.toLocalIterator():  # bounded by the sample
-        c: Counter = Counter()
-        for w, n in zip(r.w, r.c, strict=True):
-            for i in number[w]:
-                c[i] += n
-        got.append((r.u, r.key, r.y))
-        counts.append(c)
-    order = sorted(range(len(got)), key=lambda n: (got[n][0], got[n][1] is None, got[n][1] or 0, got[n][2], sorted(counts[n].items())))
-    n_drawn = Counter(y for _, _, y in got)
-    like = {n: (sorted(i for i in counts[n] if telling[i])[:8], sorted(counts[n])[:8]) for n in order}
-    order.sort(key=like.__getitem__)  # examples that share telling terms, then the commonest words, share blocks, so bounds are tight
-    got, counts = [got[n] for n in order], [counts[n] for n in order]
+    got_terms = seen.join(of_examples, "term", "left").select("term", "n", tells.alias("tells"), "held").filter("tells or held").select("term", "n", "tells").toArrow()
+    order = sorted(zip(got_terms["term"].to_pylist(), got_terms["n"].to_pylist(), got_terms["tells"].to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
+    terms, total, telling = [r[0] for r in order], sum(n_of.values()), np.array([r[2] for r in order], bool)
+    weight = (np.log((1 + total) / (1 + np.array([r[1] for r in order], float))) + 1) * np.where(telling, 1.0, plain)
+    number, rows_ = Matcher(terms), drawn.toArrow()  # bounded by the sample
+
+    counts = [number.counts(w.as_py(), np.array(c.as_py(), np.int64)) for w, c in zip(rows_["w"], rows_["c"], strict=True)]
+    got = list(zip(*(rows_[x].to_pylist() for x in ("u", "key", "y")), strict=True))
+    like = [(i[telling[i]][:8].tolist(), i[:8].tolist()) for i, _ in counts]  # examples that share telling terms, then the commonest words, share blocks, so bounds are tight
+    order = sorted(range(len(got)), key=lambda n: (like[n], got[n][0], got[n][1] is None, got[n][1] or 0, got[n][2], counts[n][0].tobytes(), counts[n][1].tobytes()))
+    got, counts, n_drawn = [got[n] for n in order], [counts[n] for n in order], Counter(y for _, _, y in got)
     index = Index(terms, telling, weight, None, np.array([y for _, _, y in got], float), np.array([n_of[y] / n_drawn[y] for _, _, y in got], float), np.array([-1 if k is None else k for _, k, _ in got], np.int64))
     index.postings = Postings([index.vector(c) for c in counts], len(terms), index.block)
     if got:
