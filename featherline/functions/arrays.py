@@ -183,3 +183,77 @@ def project(rows: Column, components: list[list[float]], centre: list[float] | N
     """Dot products with constant components, after subtracting the centre if one is given."""
     x = F.zip_with(rows, F.array(*map(F.lit, centre)), lambda v, m: v.cast("double") - m) if centre else rows
     return F.array(*[dot(x, F.array(*map(F.lit, map(float, c)))) for c in components])
+
+
+def loud_start(a: Column, threshold: float, window: int) -> Column:
+    """The start of the first window that has a value beyond the threshold; 0 without one."""
+    at = F.array_min(F.filter(F.transform(a, lambda x, i: F.when(F.abs(x) > threshold, F.floor(i / window) * window)), lambda x: x.isNotNull()))
+    return F.coalesce(at, F.lit(0)).cast("int")
+
+
+def _changes(a: Column, first: int, last: int, changes) -> Column:
+    """Places i from first to last at which changes(a[i], a[i + 1]) holds."""
+    if last < first:
+        return F.array().cast("array<int>")
+    return F.filter(F.sequence(F.lit(first), F.lit(last)), lambda i: F.coalesce(changes(F.get(a, i), F.get(a, i + 1)), F.lit(False)))
+
+
+def crossing_before(a: Column, target: int, window: int) -> Column:
+    """The last place before a change of sign among the `window` values before the target; the target without one."""
+    return F.coalesce(F.array_max(_changes(a, max(0, target - window), target - 2, lambda x, y: (x < 0) != (y < 0))), F.lit(target)).cast("int")
+
+
+def crossing_near(a: Column, target: int, window: int) -> Column:
+    """The place of a change of sign nearest to the target within the window, the earlier on ties; the target without one."""
+    at = _changes(a, max(0, target - window), target + window - 1, lambda x, y: x * y <= 0)
+    return F.coalesce(F.array_min(F.transform(at, lambda i: F.struct(F.abs(i - target).alias("d"), i.alias("i"))))["i"], F.lit(target)).cast("int")
+
+
+def content_frames(mask: Column, without: int) -> Column:
+    """Frames that a padding mask keeps; `without` a mask all of them."""
+    return F.when(mask.isNull(), F.lit(without).cast("long")).otherwise(F.aggregate(mask, F.lit(0).cast("long"), lambda s, x: s + x))
+
+
+def _semitone_distance(n: int) -> list[list[float]]:
+    """Of n bins to the centres of 12 semitones on the circle: semitone s is centred at bin n s / 12."""
+    return [[min(abs(b - s * n / 12), n - abs(b - s * n / 12)) for s in range(12)] for b in range(n)]
+
+
+def fold_to_semitones(a: Column, n: int) -> Column:
+    """Sums of n bins by the nearest semitone, the lower on ties."""
+    near = [min(range(12), key=lambda s, d=d: (d[s], s)) for d in _semitone_distance(n)]
+    return F.array(*[sum((F.get(a, F.lit(b)).cast("double") for b in range(n) if near[b] == s), F.lit(0.0)) for s in range(12)])
+
+
+def spread_semitones(weights: Column, n: int, width: float) -> Column:
+    """Twelve weights as bumps of that deviation, in semitones, over n bins on the circle."""
+    sigma = width * n / 12
+    return F.array(*[sum((F.get(weights, F.lit(s)).cast("double") * math.exp(-0.5 * (d / sigma) ** 2) for s, d in enumerate(row)), F.lit(0.0)) for row in _semitone_distance(n)])
+
+
+def steering_target(weights: Column, root: Column, profile: dict[int, float], n: int, gains: tuple[float, float, float] = (1.0, 1.0, 0.3), width: float = 0.25) -> Column:
+    """Struct of bass, mid and air over n bins: a profile above the root (zeros without one), and the melody's weights twice."""
+    melody = spread_semitones(weights, n, width)
+    of_root = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda s: F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for o, x in profile.items() for v in (o, float(x))]), F.pmod(s - root, F.lit(12)).cast("int")), F.lit(0.0)))
+    scaled = lambda a, g: F.transform(a, lambda x: x * g)
+    bass = F.when(root.isNull(), F.array_repeat(F.lit(0.0), n)).otherwise(scaled(spread_semitones(of_root, n, width), gains[0]))
+    return F.struct(bass.alias("bass"), scaled(melody, gains[1]).alias("mid"), scaled(melody, gains[2]).alias("air"))
+
+
+def has_content(a: Column, crest: float, rms: float, peak: float) -> Column:
+    """Whether a signal is neither silent nor, in decibels, above a crest and below a level and a peak at once."""
+    square = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double") * x) / F.size(a))
+    top = F.array_max(F.transform(a, lambda x: F.abs(x.cast("double"))))
+    db = lambda x: 20 * F.log10(x)
+    return F.coalesce((square > 0) & (top > 0) & ~((db(top / square) > crest) & (db(square) < rms) & (db(top) < peak)), F.lit(False))
+
+
+def anchored(stems: tuple[Column, Column], mixes: tuple[Column, Column], alpha: float, pull: tuple[float, float], mix) -> Column:
+    """Two vectors mixed, drawn towards two others, and brought back to the length of the first mixture."""
+    first = mix(stems[0], stems[1], alpha)
+    out = first
+    for other, beta in zip(mixes, pull, strict=True):
+        out = slerp(out, other, beta) if beta > 0 else out
+    length = lambda a: F.greatest(F.sqrt(dot(a, a)), F.lit(1e-8))
+    scale = length(first) / length(out)
+    return F.transform(out, lambda x: x * scale) if max(pull) > 0 else first

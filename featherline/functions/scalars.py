@@ -65,3 +65,22 @@ def quiet_stem(crest: Column, rms: Column, peak: Column, crest_below: float = -4
 def gap_in_bands(bass: Column, body: Column, mid: Column, air: Column, silent: float = -60.0) -> Column:
     """All lower bands silent while air isn't; a missing air counts as silent."""
     return (bass == silent) & (body == silent) & (mid == silent) & (F.coalesce(air, F.lit(silent)) != silent)
+
+
+def relative_position(start: Column, duration: Column) -> Column:
+    """Where a part begins in its whole, from 0 to 1; 0 in a whole without duration."""
+    return F.when(duration <= 0, F.lit(0.0)).otherwise(clamp(start / duration, 0.0, 1.0))
+
+
+def frame_of(t: Column, rate: float) -> Column:
+    """The frame that a time falls in, towards 0."""
+    return (t * rate).cast("long")
+
+
+def time_of(frame: Column, rate: float) -> Column:
+    return frame / rate
+
+
+def whole_frames(samples: Column, hop: int) -> Column:
+    """Frames that hold all samples."""
+    return F.ceil(samples / hop)

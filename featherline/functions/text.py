@@ -44,7 +44,7 @@ def folder_name(artist: Column, title: Column) -> Column:
 
 
 #: Names that stand for no single artist.
-VARIOUS = ("", "va", "v.a.", "v/a", "various", "various artists", "variousartists")
+VARIOUS = ("various artists", "various", "va", "v/a", "v.a.", "compilation", "various artist", "unknown artist", "unknown", "")
 
 
 def various_artists(artist: Column) -> Column:
@@ -61,17 +61,17 @@ def contains_any(query: str, *columns: Column) -> Column:
 
 
 #: Marks of generated text that are no content.
-STRUCTURE_MARKS = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "<|assistant|>", "<|user|>", "<|system|>")
+STRUCTURE_MARKS = ("<|end|>", "<|return|>", "<|message|>", "<|channel|>", "<|start|>", "<|end_of_text|>", "<|start_of_role|>", "<|end_of_role|>")
 
 
 def without_structure(text: Column) -> Column:
-    """What follows the last closing think mark, if that is over 5 characters; think blocks and structure marks removed, trimmed."""
+    """What follows the last closing think mark, if that is over 5 characters; think blocks, lone think marks and structure marks removed, trimmed."""
     after = F.substring_index(text, "</think>", -1)
-    out = F.when(F.contains(text, F.lit("</think>")) & (F.length(F.trim(after)) > 5), after).otherwise(text)
-    out = F.regexp_replace(out, r"(?s)<think>.*?</think>", "")
+    out = F.when(F.contains(text, F.lit("</think>")) & (F.length(F.btrim(after, F.lit(" \t\n\r\f\v"))) > 5), after).otherwise(text)
+    out = F.regexp_replace(F.regexp_replace(out, r"(?s)<think>.*?</think>", ""), "</?think>", "")
     for mark in STRUCTURE_MARKS:
         out = F.replace(out, F.lit(mark), F.lit(""))
-    return F.trim(out)
+    return F.btrim(out, F.lit(" \t\n\r\f\v"))
 
 
 def squeezed(text: Column) -> Column:

@@ -96,3 +96,40 @@ def beats_per_minute(gaps: DataFrame, key: str = "track") -> DataFrame:
     g = gaps.groupBy(key).agg(F.count("gap").alias("n"), F.avg("gap").alias("mean"), F.stddev_pop("gap").alias("std"))
     bpm = 60 / F.nullif(F.col("mean"), F.lit(0.0))
     return g.select(key, F.coalesce(bpm, F.lit(120.0)).alias("bpm"), F.coalesce((F.col("n") + 1 >= 15) & bpm.between(40, 300) & (F.col("std") <= 0.15), F.lit(False)).alias("defined"))
+
+
+def density(events: DataFrame, spans: DataFrame, key: str = "track") -> DataFrame:
+    """key, density: events a second of the key's duration; 0 without one."""
+    n = events.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return spans.join(n, key, "left").select(key, F.when(F.col("duration") <= 0, F.lit(0.0)).otherwise(F.coalesce("_n", F.lit(0)) / F.col("duration")).alias("density"))
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str = "track", t: str = "t") -> DataFrame:
+    """left with `nearest`: the key's time in right nearest to t, the earlier on ties, null without any. Both sides in one sorted window; no range join."""
+    rows = left.withColumns({"_t": F.col(t), "_side": F.lit(1), "_row": F.struct(*left.columns)}).select(key, "_t", "_side", "_row")
+    marks = right.select(key, F.col(t).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    w = Window.partitionBy(key).orderBy("_t", "_side")
+    mark = F.when(F.col("_side") == 0, F.col("_t"))
+    both = rows.unionByName(marks).withColumns({"_a": F.last(mark, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_b": F.first(mark, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    best = F.when(F.col("_b").isNull() | (F.col("_t") - F.col("_a") <= F.col("_b") - F.col("_t")), F.col("_a")).otherwise(F.col("_b"))
+    return both.filter("_side = 1").select("_row.*", F.coalesce(best, F.col("_b")).alias("nearest"))
+
+
+def subdivided(events: DataFrame, parts: int, key: str = "track", t: str = "t", tie: str | None = None) -> DataFrame:
+    """Every event but a key's last, in equal parts until the next one: j and t."""
+    w = Window.partitionBy(key).orderBy(t, *([tie] if tie else []))
+    n = events.withColumn("_n", F.lead(t).over(w)).filter("_n is not null").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return n.withColumn(t, F.col(t) + F.col("j") * (F.col("_n") - F.col(t)) / parts).drop("_n")
+
+
+def validated_tempo(gaps: DataFrame, share: float = 0.1, deviation: float = 0.15, step: float = 0.05, key: str = "track", t: str = "t", tie: str | None = None) -> DataFrame:
+    """bpm, stable (seconds in stable segments) and validity: at least 15 beats, 40 to 300 bpm, and gaps that deviate by at most
+    `deviation`, over all or, failing that, in stable segments that make up at least `share` of the time."""
+    a = gaps.groupBy(key).agg(F.count("gap").alias("_n"), F.avg("gap").alias("_m"), F.stddev_pop("gap").alias("_s"), F.sum("gap").alias("_total"))
+    w = Window.partitionBy(key).orderBy(t, *([tie] if tie else []))
+    g = gaps.filter("gap is not null").withColumn("_b", F.coalesce(F.abs(F.col("gap") - F.lag("gap").over(w)) > step, F.lit(False)).cast("int"))
+    s = g.withColumn("_k", F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(key, "_k").agg(F.count(F.lit(1)).alias("_n"), F.sum("gap").alias("_d"), F.stddev_pop("gap").alias("_s"))
+    s = s.filter((F.col("_n") >= 4) & (F.col("_s") <= deviation)).groupBy(key).agg(F.sum("_d").alias("_stable"))
+    bpm, stable = 60 / F.nullif(F.col("_m"), F.lit(0.0)), F.coalesce("_stable", F.lit(0.0))
+    valid = (F.col("_n") + 1 >= 15) & bpm.between(40, 300) & ((F.col("_s") <= deviation) | (stable >= share * F.col("_total")))
+    return a.join(s, key, "left").select(key, F.coalesce(bpm, F.lit(120.0)).alias("bpm"), F.coalesce(valid, F.lit(False)).alias("defined"), stable.alias("stable"))

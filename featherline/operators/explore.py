@@ -81,3 +81,26 @@ def ranked(df: DataFrame, by: str, keep: list[str], n: int, ascending: bool = Fa
 def top_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
     """The n first rows of each group; Spark keeps n a group before the shuffle."""
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("rank") <= n)
+
+
+def matrix_view(matrix: DataFrame, least: float) -> DataFrame:
+    """x, y, r and the row's place: weak coefficients as 0, rows by their strongest one, ties by name."""
+    m = matrix.withColumn("r", F.when(F.abs("r") >= least, F.col("r")).otherwise(0.0))
+    top = m.groupBy("x").agg(F.max(F.abs("r")).alias("_top"))  # a row a feature
+    ranked = top.withColumn("place", F.row_number().over(Window.orderBy(F.desc(F.round("_top", 9)), "x")))
+    return m.join(F.broadcast(ranked), "x").select("x", "y", "r", "place")
+
+
+def extremes(df: DataFrame, name: str, value: str, n: int) -> DataFrame:
+    """side (top or bottom), name, value: the n greatest and the n least; ties by name."""
+    side = lambda s, order: df.orderBy(order, name).limit(n).select(F.lit(s).alias("side"), name, value)
+    return side("top", F.desc(F.round(value, 9))).unionByName(side("bottom", F.round(value, 9)))
+
+
+def bin_members(df: DataFrame, value: str, bin: int, bins: int = 30) -> DataFrame:
+    """The rows behind one bar of the histogram."""
+    r = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    lo, hi = F.col("_lo") + bin * width, F.col("_lo") + (bin + 1) * width
+    inside = (F.col(value) >= lo) & ((F.col(value) <= F.col("_hi")) if bin == bins - 1 else (F.col(value) < hi))
+    return df.crossJoin(F.broadcast(r)).filter(inside).drop("_lo", "_hi")  # one row on the right

@@ -170,3 +170,14 @@ def ward_clusters(distance: np.ndarray, share: float = 0.7) -> np.ndarray:
             group = [gi if g == gj else g for g in group]
     names = {g: k for k, g in enumerate(dict.fromkeys(group))}
     return np.array([names[g] for g in group])
+
+
+def spread(df: DataFrame, features: list[str], least: float = 1e-4) -> DataFrame:
+    """feature, std, kept: population deviations in one pass, and which features vary enough."""
+    one = df.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in features])
+    return one.unpivot([], features, "feature", "std").withColumn("kept", F.coalesce(F.col("std") >= least, F.lit(False)))
+
+
+def top_pairs(matrix: DataFrame, n: int) -> DataFrame:
+    """The n strongest coefficients of a matrix, one of each pair; ties by names."""
+    return matrix.filter(F.col("x") != F.col("y")).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.min_by(F.struct("x", "y", "r"), F.struct("x", "y")).alias("c")).orderBy(F.desc(F.round(F.abs("c.r"), 9)), "a", "b").limit(n).select("c.*")

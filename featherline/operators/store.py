@@ -68,3 +68,24 @@ def seeded_groups(df: DataFrame, group: str, n: int, seed: int = 0) -> DataFrame
     return df.join(F.broadcast(chosen), group, "left_semi")
 
 
+def lookup(keys: DataFrame, store: DataFrame, key: str, payload: str, entry: str) -> DataFrame:
+    """keys with `value`, one entry of their record, and `has`, whether there is a record."""
+    found = store.select(key, F.try_element_at(F.col(payload), F.lit(entry)).alias("value"), F.lit(True).alias("has"))
+    return keys.join(found, key, "left").withColumn("has", F.coalesce("has", F.lit(False)))
+
+
+def store_size(store: DataFrame, key: str, payload: str) -> DataFrame:
+    """One row: n_keys, n_entries."""
+    return store.agg(F.count(key).alias("n_keys"), F.coalesce(F.sum(F.size(payload)), F.lit(0)).cast("long").alias("n_entries"))
+
+
+def strip_entries(store: DataFrame, payload: str, exact: tuple[str, ...], prefixes: tuple[str, ...]) -> DataFrame:
+    """Records without the entries named or begun so, with how many were removed and there before."""
+    def gone(k: Column) -> Column:
+        out = k.isin(*exact)
+        for p in prefixes:
+            out = out | k.startswith(p)
+        return out
+
+    kept = F.map_filter(payload, lambda k, _: ~gone(k))
+    return store.withColumns({"before": F.size(payload).cast("long"), "removed": (F.size(payload) - F.size(kept)).cast("long"), payload: kept})

@@ -17,6 +17,8 @@ from featherline.operators import store as R
 from featherline.plans.catalog import query
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+#: The kinds of events there are: columns of the SQL of wide tables.
+EVENT_KINDS = ["click", "error", "purchase", "signup", "view"]
 
 
 def read(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -321,9 +323,13 @@ def trend_line(spark: SparkSession, d: str) -> DataFrame:
     return t.select("l_returnflag", "n", F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"), "x0", "x1", F.round("y0", 4).alias("y0"), F.round("y1", 4).alias("y1"))
 
 
-@query("vif", " UNION ALL ".join(f"SELECT '{f}' AS feature, 'low' AS level" for f in ["l_quantity", "l_discount", "l_tax"]))
+#: 1 / (1 - R^2) of three columns by their correlations.
+_VIF = [(f, *[g for g in ("l_quantity", "l_discount", "l_tax") if g != f]) for f in ("l_quantity", "l_discount", "l_tax")]
+
+
+@query("vif", " UNION ALL ".join(f"SELECT '{f}' AS feature, round(1 / (1 - (power(corr({f}, {a}), 2) + power(corr({f}, {b}), 2) - 2 * corr({f}, {a}) * corr({f}, {b}) * corr({a}, {b})) / (1 - power(corr({a}, {b}), 2))), 6) AS vif FROM lineitem" for f, a, b in _VIF))
 def vif(spark: SparkSession, d: str) -> DataFrame:
-    return T.variance_inflation(read(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]).select("feature", "level")
+    return T.variance_inflation(read(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]).select("feature", F.round("vif", 6).alias("vif"))
 
 
 @query("mutual_information", """
@@ -513,7 +519,10 @@ def octave_bpm(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", S.octave_corrected(F.col("p_size") * F.lit(4.0), F.col("p_retailprice") / 10).alias("bpm"))
 
 
-@query("pivot_export", "PIVOT (SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1) ON event_type USING first(value) GROUP BY user_id")
+@query("pivot_export", """
+WITH l AS (SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1)
+SELECT user_id, KINDS FROM l GROUP BY user_id
+""".replace("KINDS", ", ".join(f"max(value) FILTER (WHERE event_type = '{k}') AS \"{k}\"" for k in EVENT_KINDS)))
 def pivot_export(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events").select("user_id", "event_type", "event_id", "value", "ts")
     kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())  # columns of the result

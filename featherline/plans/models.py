@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -13,6 +14,7 @@ from featherline.functions.text import normal_form
 from featherline.operators import segment
 from featherline.operators import similarity as N
 from featherline.operators import stats as T
+from featherline.operators import store as R
 from featherline.plans.catalog import query
 from featherline.plans.definitions import EV, NUMBERS, read, seconds, vectors
 from featherline.streaming import ingest
@@ -92,16 +94,32 @@ def _shared(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/featherline-stream-{uuid.uuid4().hex}"
 
 
-def _run(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
-    """A stream's result after all there is has been read, as a table."""
-    at = _shared(spark)
+def _run(spark: SparkSession, stream: DataFrame, mode: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """A stream's result after all there is has been read, as a table: in complete mode that of the last micro-batch, in update
+    mode each key's of the last micro-batch that had one. A batch that is retried replaces itself."""
+    at, seen = _shared(spark), []
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{at}/out/_batch={number}")
+        batch.write.mode("overwrite").parquet(f"{at}/out/batch={number}")
+        seen.append(number)
 
     q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{at}/out")
+    atexit.register(_remove, spark, at)
+    if not seen:
+        return spark.createDataFrame([], stream.schema)
+    if mode == "complete":
+        return spark.read.schema(stream.schema).parquet(f"{at}/out/batch={max(seen)}")
+    every = spark.read.schema(stream.schema.add("batch", "long")).option("basePath", f"{at}/out").parquet(f"{at}/out")
+    return R.last_wins(every, list(keys), ["batch"]).drop("batch")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the JVM has gone
+        return
 
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
@@ -128,4 +146,4 @@ def window_density_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query("last_value_stream", "SELECT user_id, count(*) AS n, arg_max(value, ts) AS value FROM events GROUP BY 1")
 def last_value_stream(spark: SparkSession, d: str) -> DataFrame:
-    return _run(spark, ingest.last_values(_stream(spark, d)), "update").select("user_id", "n", "value")
+    return _run(spark, ingest.last_values(_stream(spark, d)), "update", ("user_id",)).select("user_id", "n", "value")

@@ -93,7 +93,9 @@ def test_track_of(spark, key, want):
 
 
 def test_texts(spark):
-    assert one(spark, X.without_structure(F.lit("a <think>b\nc</think> the answer<|im_end|> "))) == "the answer"
+    assert one(spark, X.without_structure(F.lit("a <think>b\nc</think> the answer<|end|> "))) == "the answer"
+    assert one(spark, X.without_structure(F.lit("<|start|>final<|channel|> <think>open"))) == "final open" and one(spark, X.without_structure(F.lit("x</think>yes <|im_end|>"))) == "yes <|im_end|>"
+    assert all(one(spark, X.various_artists(F.lit(x))) for x in ("Compilation", "various artist", " Unknown Artist", "unknown", "", None)) and not one(spark, X.various_artists(F.lit("variousartists")))
     assert one(spark, X.without_structure(F.lit("<think>b</think> x"))) == "x"
     assert one(spark, X.squeezed(F.lit(" a  é b\n\tc "))) == "a b c"
     assert one(spark, X.folder_name(F.lit("A/B"), F.lit("T"))) == "AB - T" and one(spark, X.folder_name(F.lit("?"), F.lit("T"))) is None
