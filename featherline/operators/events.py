@@ -38,12 +38,12 @@ def complexity(entropy: Column, cv: Column) -> Column:
 
 
 def stable_segments(gaps: DataFrame, threshold: float, least: int = 4, key: str = "track", t: str = "t", tie: str | None = None) -> DataFrame:
-    """Runs of at least `least` gaps whose neighbours differ by at most the threshold: first and last place, size, deviation."""
+    """Runs of at least `least` gaps whose neighbours differ by at most the threshold: first place, the place after the last, size, deviation."""
     order = [t, *([tie] if tie else [])]
     w = Window.partitionBy(key).orderBy(*order)
     g = gaps.filter("gap is not null").withColumn("i", F.row_number().over(w) - 1).withColumn("_b", F.coalesce(F.abs(F.col("gap") - F.lag("gap").over(w)) > threshold, F.lit(False)).cast("int"))
     g = g.withColumn("segment", F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return g.groupBy(key, "segment").agg(F.min("i").alias("first"), F.max("i").alias("last"), F.count(F.lit(1)).alias("n"), F.stddev_pop("gap").alias("std")).filter(F.col("n") >= least).drop("segment")
+    return g.groupBy(key, "segment").agg(F.min("i").alias("first"), (F.max("i") + 1).alias("end"), F.count(F.lit(1)).alias("n"), F.stddev_pop("gap").alias("std")).filter(F.col("n") >= least).drop("segment")
 
 
 def islands(events: DataFrame, gap: float, key: str = "track", t: str = "t", tie: str | None = None) -> DataFrame:

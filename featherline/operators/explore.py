@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featherline.functions.scalars import clamp, min_max
+from featherline.operators.profile import quantiles, with_quantiles
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
-    """bin, lo, hi, n over equal widths of [min, max]; the last bin is closed, empty ones are listed; one bin if all are equal."""
+    """bin, lo, hi, n, and the mean and deviation of all, over equal widths of [min, max]; the last bin is closed, empty ones are listed; one bin if all are equal."""
     v = df.select(F.col(value).cast("double").alias("v")).dropna()
-    r = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).filter("lo is not null")
+    r = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std")).filter("lo is not null")
     width = (F.col("hi") - F.col("lo")) / bins
     cell = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / width))).otherwise(F.lit(0)).cast("int")
     n = v.crossJoin(F.broadcast(r)).groupBy(cell.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    frame = r.select("lo", width.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return frame.join(F.broadcast(n), "bin", "left").select("bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("lo"), (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"))
+    frame = r.select("lo", "mean", "std", width.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return frame.join(F.broadcast(n), "bin", "left").select("bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("lo"), (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"), "mean", "std")
 
 
 def quadrant(df: DataFrame, id_column: str, x_plus: str, x_minus: str, y_plus: str, y_minus: str) -> DataFrame:
@@ -31,7 +32,7 @@ def quadrant(df: DataFrame, id_column: str, x_plus: str, x_minus: str, y_plus: s
 def radar(df: DataFrame, id_column: str, features: list[str], row_id: int) -> DataFrame:
     """feature, value, mean: one row's and the table's place between the 1st and 99th percentile, clamped to [0, 1]."""
     v = df.select(id_column, *[F.col(f).cast("double").alias(f) for f in features]).unpivot([id_column], features, "feature", "v")
-    s = v.groupBy("feature").agg(F.percentile("v", F.array(F.lit(0.01), F.lit(0.99))).alias("q"), F.avg("v").alias("m"), F.max(F.when(F.col(id_column) == row_id, F.col("v"))).alias("v"))
+    s = with_quantiles(v.groupBy("feature").agg(F.avg("v").alias("m"), F.max(F.when(F.col(id_column) == row_id, F.col("v"))).alias("v")), quantiles(v, ["feature"], "v", [0.01, 0.99]), ["feature"])
     place = lambda c: clamp(min_max(F.col(c), F.col("q")[0], F.col("q")[1]), 0.0, 1.0)
     return s.select("feature", place("v").alias("value"), place("m").alias("mean"))
 

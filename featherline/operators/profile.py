@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from featherline.operators.store import size_checked
+
 
 def unpivot(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     """keys, feature, value: one row a feature, values as doubles; NaN and infinities become null."""
@@ -12,33 +14,56 @@ def unpivot(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return v.withColumn("value", F.when(~F.isnan("value") & (F.abs("value") != float("inf")), F.col("value")))
 
 
-def numeric_profile(long: DataFrame, by: list[str]) -> DataFrame:
-    """count, mean, median, population deviation, range, quartiles, and how many values lie over 1.5 interquartile ranges outside.
+def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], ranges: int = 256) -> DataFrame:
+    """by, q: the exact quantiles of each group, interpolated between neighbours as usual; null values don't count.
 
-    Values are counted once per distinct value first, so exact quantiles and outlier counts need one shuffle of distinct
-    values; groups of all nulls give count 0 and nulls.
+    Distinct values are counted first. A sketch a group cuts them into ranges of about as many, the ranges' totals tell which
+    of them hold the ranks that are asked for, and only values of those ranges are sorted, a range a task. So no task holds or
+    sorts a group. Nulls are groups of their own.
     """
-    v = long.groupBy(*by, "value").agg(F.count("value").alias("n"))
-    q = v.groupBy(*by).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("count"), (F.sum(F.col("value") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0))).alias("mean"),
-        F.expr("percentile(value, array(0.25, 0.5, 0.75), greatest(n, 1)) FILTER (WHERE n > 0)").alias("q"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.sum(F.col("value") * F.col("value") * F.col("n")).alias("_s2"),
-    )
+    g = F.struct(*by) if by else F.struct(F.lit(1).alias("all"))
+    v = df.filter(F.col(value).isNotNull()).select(g.alias("_g"), F.col(value).cast("double").alias("_v")).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    sketch = size_checked(v.groupBy("_g").agg(F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 20 * ranges).alias("_b"), F.sum("_n").alias("_m")))
+    placed = v.join(sketch, "_g").select("_g", "_v", "_n", "_m", F.size(F.filter("_b", lambda x: x < F.col("_v"))).alias("_r"))
+    totals = placed.groupBy("_g", "_r").agg(F.sum("_n").alias("_k"), F.first("_m").alias("_m"))
+    totals = totals.withColumn("_before", F.sum("_k").over(Window.partitionBy("_g").orderBy("_r")) - F.col("_k"))  # at most `ranges` rows a group
+    at = lambda p: F.lit(float(p)) * (F.col("_m") - 1)
+    ranks = F.array(*[F.struct(F.lit(2 * i + j).alias("i"), f(at(p)).cast("long").alias("rank")) for i, p in enumerate(probs) for j, f in enumerate((F.floor, F.ceil))])
+    asked = totals.select("_g", "_r", "_m", "_before", F.filter(ranks, lambda x: (x["rank"] >= F.col("_before")) & (x["rank"] < F.col("_before") + F.col("_k"))).alias("_asked")).filter(F.size("_asked") > 0)
+    some = placed.select("_g", "_v", "_n", "_r").join(size_checked(asked), ["_g", "_r"])
+    upto = F.sum("_n").over(Window.partitionBy("_g", "_r").orderBy("_v")) + F.col("_before")
+    found = some.withColumn("_upto", upto).select("_g", "_m", "_v", F.explode(F.filter("_asked", lambda x: (x["rank"] < F.col("_upto")) & (x["rank"] >= F.col("_upto") - F.col("_n")))["i"]).alias("_i"))
+    of = found.groupBy("_g").agg(F.first("_m").alias("_m"), F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_q"))  # two entries a quantile
+    low = lambda i: F.element_at("_q", F.lit(2 * i))
+    q = [low(i) + (at(p) - F.floor(at(p))) * (F.element_at("_q", F.lit(2 * i + 1)) - low(i)) for i, p in enumerate(probs)]
+    return of.select(*[F.col(f"_g.{c}").alias(c) for c in by], F.array(*q).alias("q"))
+
+
+def with_quantiles(df: DataFrame, of: DataFrame, by: list[str]) -> DataFrame:
+    """df with the q of its group, null where it has none; null keys meet."""
+    other = size_checked(of.select(*[F.col(c).alias(f"_q_{c}") for c in by], "q"))
+    keys = [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in by]
+    return (df.join(other, keys, "left") if by else df.crossJoin(F.broadcast(other))).select(*df.columns, "q")
+
+
+def numeric_profile(long: DataFrame, by: list[str]) -> DataFrame:
+    """count, mean, median, population deviation, range, quartiles, and how many values lie over 1.5 interquartile ranges outside.
+    Groups of all nulls give count 0 and nulls."""
+    s = long.groupBy(*by).agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    q = quantiles(long, by, "value", [0.25, 0.5, 0.75])
     iqr = F.col("q")[2] - F.col("q")[0]
-    q = q.select(*by, "count", "mean", F.col("q")[1].alias("median"), "min", "max", F.col("q")[0].alias("q1"), F.col("q")[2].alias("q3"), iqr.alias("iqr"))
-    bounds = q.select(*by, F.col("mean").alias("_m"), (F.col("q1") - 1.5 * F.col("iqr")).alias("_lo"), (F.col("q3") + 1.5 * F.col("iqr")).alias("_hi"))
-    keys = [F.col(f"v.{k}").eqNullSafe(F.col(f"b.{k}")) for k in by]
-    out = v.alias("v").join(bounds.alias("b"), keys).groupBy(*[F.col(f"v.{k}").alias(k) for k in by]).agg(
-        F.sqrt(F.sum(F.pow(F.col("value") - F.col("_m"), 2) * F.col("n")) / F.nullif(F.sum("n"), F.lit(0))).alias("std"),
-        F.coalesce(F.sum(F.when((F.col("value") < F.col("_lo")) | (F.col("value") > F.col("_hi")), F.col("n"))), F.lit(0)).alias("outliers"),
-    )
-    return q.alias("q").join(out.alias("o"), [F.col(f"q.{k}").eqNullSafe(F.col(f"o.{k}")) for k in by]).select("q.*", "o.std", "o.outliers", (100.0 * F.col("outliers") / F.nullif(F.col("count"), F.lit(0))).alias("outlier_pct"))
+    outside = (F.col("value") < F.col("q")[0] - 1.5 * iqr) | (F.col("value") > F.col("q")[2] + 1.5 * iqr)
+    far = with_quantiles(long, q, by).groupBy(*by).agg(F.count_if(outside).alias("_o"))
+    far = size_checked(far.select(*[F.col(c).alias(f"_o_{c}") for c in by], "_o"))
+    out = with_quantiles(s, q, by).join(far, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in by])
+    return out.select(*by, "count", "mean", F.col("q")[1].alias("median"), "min", "max", F.col("q")[0].alias("q1"), F.col("q")[2].alias("q3"), iqr.alias("iqr"), "std", F.col("_o").alias("outliers"), (100.0 * F.col("_o") / F.nullif(F.col("count"), F.lit(0))).alias("outlier_pct"))
 
 
 def iqr_outliers(df: DataFrame, value: str, by: list[str], keep: list[str]) -> DataFrame:
     """The rows outside 1.5 interquartile ranges of their group."""
-    b = df.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("_q")).select(*by, (2.5 * F.col("_q")[0] - 1.5 * F.col("_q")[1]).alias("_lo"), (2.5 * F.col("_q")[1] - 1.5 * F.col("_q")[0]).alias("_hi"))
-    return df.join(b, by).filter((F.col(value) < F.col("_lo")) | (F.col(value) > F.col("_hi"))).select(*keep, value)
+    q = quantiles(df, by, value, [0.25, 0.75])
+    lo, hi = 2.5 * F.col("q")[0] - 1.5 * F.col("q")[1], 2.5 * F.col("q")[1] - 1.5 * F.col("q")[0]
+    return with_quantiles(df, q, by).filter((F.col(value) < lo) | (F.col(value) > hi)).select(*keep, value)
 
 
 def top_categories(df: DataFrame, category: Column, n: int = 10) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featherline.operators.events import islands
+from featherline.operators.profile import quantiles, with_quantiles
 from featherline.operators.stats import correlation, fisher_mean
 
 
@@ -31,14 +32,14 @@ def loud_spans(samples: DataFrame, threshold: float, hold: float, least: float,
 
 def loudness_range(blocks: DataFrame, key: str, level: str) -> DataFrame:
     """Difference of the 95th and the 10th percentile of block levels."""
-    q = blocks.groupBy(key).agg(F.percentile(level, F.array(F.lit(0.1), F.lit(0.95))).alias("q"))
+    q = quantiles(blocks, [key], level, [0.1, 0.95])
     return q.select(key, (F.col("q")[1] - F.col("q")[0]).alias("range"))
 
 
 def timing_stats(df: DataFrame, key: str, value: str) -> DataFrame:
     """n, mean, population deviation, 10th and 90th percentile and sum."""
-    g = df.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.percentile(value, F.array(F.lit(0.1), F.lit(0.9))).alias("q"), F.sum(value).alias("sum"))
-    return g.select(key, "n", "mean", "std", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p90"), "sum")
+    g = df.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.sum(value).alias("sum"))
+    return with_quantiles(g, quantiles(df, [key], value, [0.1, 0.9]), [key]).select(key, "n", "mean", "std", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p90"), "sum")
 
 
 def weighted_share(rows: DataFrame, key: str, on: Column, weight: Column) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featherline.functions.arrays import doubles
@@ -40,16 +40,16 @@ def nearest_by_cosine(df: DataFrame, id_column: str, vector: str, k: int = 20, b
         ia, ib = ids[a], ids[b]
         s = np.round(v[a] @ v[b].T, digits) + 0.0
         s[ia[:, None] == ib[None]] = -np.inf
-        out = []
-        for r in range(len(ia)):
-            order = np.lexsort((ib, -s[r]))[:k]
-            out += [(int(ia[r]), int(ib[c]), float(s[r, c])) for c in order if s[r, c] > -np.inf]
-        cols = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.table({"id": pa.array(cols[0], pa.int64()), "other": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
+        order = np.argsort(ib, kind="stable")
+        s, ib = s[:, order], ib[order]
+        kth = np.partition(s, -k, axis=1)[:, -k, None] if s.shape[1] > k else np.full((len(ia), 1), -np.inf)
+        tied = s == kth
+        r, c = np.nonzero(((s > kth) | tied & (np.cumsum(tied, 1) <= k - (s > kth).sum(1, keepdims=True))) & (s > -np.inf))  # ties by id
+        return pa.table({"id": pa.array(ia[r], pa.int64()), "other": pa.array(ib[c], pa.int64()), "score": pa.array(s[r, c], pa.float64())})
 
     found = left.unionByName(right).groupBy("p", "q").applyInArrow(best, "id long, other long, score double")
-    top = found.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "other"))), 1, k).alias("t"))
-    return top.select("id", F.posexplode("t").alias("rank", "e")).select("id", (F.col("rank") + 1).alias("rank"), F.col("e.other").alias("other"), (-F.col("e.s")).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "other"))  # a limit by rank, which Spark applies before the shuffle too
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("id", "rank", "other", "score")
 
 
 def nearest_points(df: DataFrame, id_column: str, axes: list[str], at: list[float], k: int = 20, leave_out: list[int] | None = None) -> DataFrame:
@@ -60,22 +60,27 @@ def nearest_points(df: DataFrame, id_column: str, axes: list[str], at: list[floa
 
 
 def farthest_medoids(df: DataFrame, id_column: str, vector: str, k: int) -> list[int]:
-    """Greedy k-centre by cosine: from the least id on, always the row least like those chosen. k passes, one row each to the driver."""
+    """Greedy k-centre by cosine: from the least id on, always the row least like those chosen. k passes, one row each to the
+    driver; every row carries its greatest likeness so far, so a pass compares it with one centre."""
     from featherline.functions.arrays import cosine
 
     first = df.orderBy(id_column).first()
     if first is None:
         return []
-    chosen, likest = [first[id_column]], None
-    centres = [first[vector]]
+    chosen, newest = [first[id_column]], first[vector]
+    rows, held = df.select(id_column, vector, F.lit(-1.0).alias("_l")), []
     while len(chosen) < k:
-        sims = [cosine(F.col(vector), F.array(*[F.lit(float(x)) for x in c])) for c in centres]
-        likest = F.greatest(*sims) if len(sims) > 1 else sims[0]
-        nxt = df.filter(~F.col(id_column).isin(chosen)).withColumn("_l", likest).orderBy(F.round("_l", 9), id_column).first()
+        rows = rows.withColumn("_l", F.greatest("_l", cosine(F.col(vector), F.array(*[F.lit(float(x)) for x in newest])))).persist()
+        held.append(rows)
+        nxt = rows.filter(~F.col(id_column).isin(chosen)).orderBy(F.round("_l", 9), id_column).first()
         if nxt is None:
             break
         chosen.append(nxt[id_column])
-        centres.append(nxt[vector])
+        newest = nxt[vector]
+        if len(held) > 1:
+            held.pop(0).unpersist()
+    for x in held:
+        x.unpersist()
     return chosen
 
 

@@ -34,9 +34,11 @@ def strongest(matrix: DataFrame) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Adds mean ranks. Distinct values are counted and ranked by range partitions: offsets come from the partitions' totals, so no task sorts all values."""
+    """Adds mean ranks. Distinct values are counted and ranked within ranges, whose bounds are found first: offsets come from the ranges' totals, so no task sorts all values."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    parts = counts.repartitionByRange(column).withColumn("_p", F.spark_partition_id())
+    n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = counts.agg(F.percentile_approx(column, [i / n for i in range(1, n)], 50 * n).alias("b"))  # one row
+    parts = counts.crossJoin(F.broadcast(bounds)).select(column, "_n", F.size(F.filter("b", lambda x: x < F.col(column))).alias("_p"))
     within = F.sum("_n").over(Window.partitionBy("_p").orderBy(column))
     ranked = parts.withColumn("_w", within).select(column, "_n", "_p", "_w")
     totals = ranked.groupBy("_p").agg(F.max("_w").alias("_t"))

@@ -199,11 +199,11 @@ def rhythm_complexity(spark: SparkSession, d: str) -> DataFrame:
 @query("stable_segments", f"""
 WITH {GAPS}, i AS (SELECT *, row_number() OVER (PARTITION BY track ORDER BY t, row) - 1 AS i, coalesce(abs(gap - lag(gap) OVER (PARTITION BY track ORDER BY t, row)) > 14400, false) AS b FROM g WHERE gap IS NOT NULL),
 s AS (SELECT *, sum(CAST(b AS INTEGER)) OVER (PARTITION BY track ORDER BY t, row ROWS UNBOUNDED PRECEDING) AS seg FROM i)
-SELECT track, min(i) AS first, max(i) AS last, count(*) AS n, round(stddev_pop(gap), 6) AS std FROM s GROUP BY track, seg HAVING count(*) >= 4
+SELECT track, min(i) AS first, max(i) + 1 AS "end", count(*) AS n, round(stddev_pop(gap), 6) AS std FROM s GROUP BY track, seg HAVING count(*) >= 4
 """)
 def stable_segments(spark: SparkSession, d: str) -> DataFrame:
     out = E.stable_segments(gaps(spark, d), 14400.0, tie="row")
-    return out.select("track", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "n", *r6("std"))
+    return out.select("track", F.col("first").cast("long").alias("first"), F.col("end").cast("long").alias("end"), "n", *r6("std"))
 
 
 @query("density_windows", f"""
@@ -343,11 +343,11 @@ def mutual_information(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("histogram30", """
-WITH r AS (SELECT min(value) AS lo, (max(value) - min(value)) / 30 AS w FROM events), b AS (SELECT unnest(range(0, 30)) AS bin), n AS (SELECT least(29, floor((value - lo) / w)) AS bin, count(*) AS n FROM events, r WHERE value IS NOT NULL GROUP BY 1)
-SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * w, 6) AS lo, round(lo + (b.bin + 1) * w, 6) AS hi, coalesce(n, 0) AS n FROM b CROSS JOIN r LEFT JOIN n ON n.bin = b.bin
+WITH r AS (SELECT min(value) AS lo, (max(value) - min(value)) / 30 AS w, avg(value) AS m, stddev_pop(value) AS s FROM events), b AS (SELECT unnest(range(0, 30)) AS bin), n AS (SELECT least(29, floor((value - lo) / w)) AS bin, count(*) AS n FROM events, r WHERE value IS NOT NULL GROUP BY 1)
+SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * w, 6) AS lo, round(lo + (b.bin + 1) * w, 6) AS hi, coalesce(n, 0) AS n, round(m, 6) AS mean, round(s, 6) AS std FROM b CROSS JOIN r LEFT JOIN n ON n.bin = b.bin
 """)
 def histogram30(spark: SparkSession, d: str) -> DataFrame:
-    return V.histogram(read(spark, d, "events"), "value").select("bin", *r6("lo", "hi"), "n")
+    return V.histogram(read(spark, d, "events"), "value").select("bin", *r6("lo", "hi"), "n", *r6("mean", "std"))
 
 
 @query("norm_quadrant", """

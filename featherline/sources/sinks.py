@@ -33,9 +33,12 @@ def write_csv(wide: DataFrame, path: str, key: str = "track") -> None:
     wide.select(*cols).sort(key).write.mode("overwrite").option("header", "true").option("emptyValue", "").csv(path)
 
 
-def write_columns_json(wide: DataFrame, path: str) -> None:
-    """A JSON document a row."""
-    wide.select(F.to_json(F.struct(*wide.columns)).alias("value")).write.mode("overwrite").text(path)
+def write_columns_json(wide: DataFrame, path: str, key: str = "track") -> None:
+    """One JSON document: each column as the array of its values, rows by key; null cells are null. For tables of one row a
+    recording that a page can load: the document is made in one task, as a single document must be."""
+    rows = wide.agg(F.sort_array(F.collect_list(F.struct(key, *[c for c in wide.columns if c != key]))).alias("r"))
+    column = lambda c: F.transform("r", lambda x: x[c]).alias(c)
+    rows.select(F.to_json(F.struct(*map(column, wide.columns)), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_events(events: DataFrame, path: str, key: str, t: str = "t", digits: int = 6) -> None:

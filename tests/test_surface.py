@@ -10,6 +10,7 @@ from featherline.functions import arrays as A
 from featherline.functions import names as M
 from featherline.operators import events as E
 from featherline.operators import incremental as I
+from featherline.operators import profile as P
 from featherline.operators import series as Z
 from featherline.plans import models
 from featherline.streaming import ingest
@@ -111,3 +112,15 @@ def test_semitones(spark):
 def test_dominant_class(spark):
     rows = [(1, x) for x in (5.0, 5.1, 4.9, 5.0, 5.2, 2.0)] + [(2, 13.0)] * 10 + [(3, 0.5), (3, 1.5), (4, None)]
     assert {r.k: r["class"] for r in Z.dominant_class(spark.createDataFrame(rows, "k int, x double"), "k", "x").collect()} == {1: 5, 2: 1, 3: 0}
+
+
+def test_quantiles_against_numpy(spark):
+    r = np.random.default_rng(5)
+    rows = [(None if i % 5 == 0 else f"k{i % 3}", float(x)) for i, x in enumerate(np.round(r.normal(size=700), 1))] + [("one", 3.0), ("same", 2.0), ("same", 2.0), ("none", None)] + [("hot", 1.0)] * 500 + [("hot", float(i)) for i in range(100)]
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
+    for ranges in (256, 4):
+        got = {x.k: x.q for x in P.quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", probs, ranges).collect()}
+        assert set(got) == {k for k, v in rows if v is not None}
+        for k, q in got.items():
+            assert q == pytest.approx(np.quantile([v for x, v in rows if x == k and v is not None], probs).tolist())
+    assert P.quantiles(spark.createDataFrame([], "k string, v double"), ["k"], "v", probs).count() == 0
