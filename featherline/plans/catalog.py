@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _define() -> None:
-    from featherline.plans import definitions, models, series, surface  # noqa: F401  they register
+    from featherline.plans import definitions, models, series, surface, vectors  # noqa: F401  they register
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
