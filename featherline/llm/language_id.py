@@ -15,16 +15,14 @@ from featherline.llm.common import fold, table
 
 SPACE = 1 << 16  # hashed n-grams
 _OTHER = re.compile(r"[\W\d_]+")
-#: \w also takes numerals such as Roman ones and fractions, which are no letters. A class of its own: mixed with others it is slow.
-_NUMERAL = re.compile("[" + "".join(c for c in map(chr, range(0xB0, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]+")
 
 
 def grams(text: str | None) -> np.ndarray:
     """Hashed 1-, 2- and 3-grams of the letters of a whole text, runs of anything else being one space; empty without letters."""
-    text = text or ""
-    if not text.isascii() and _NUMERAL.search(text):
-        text = _NUMERAL.sub(" ", text)
-    text = _OTHER.sub(" ", text).strip().lower()
+    text = _OTHER.sub(" ", text or "")
+    if not text.replace(" ", "").isalpha():  # \w also takes numerals such as Roman ones and fractions, which are no letters
+        text = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text))
+    text = text.strip().lower()
     if not text:
         return np.empty(0, np.uint16)
     a = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), np.uint32)
