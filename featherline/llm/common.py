@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,17 +33,19 @@ def scratch_dir(spark: SparkSession) -> str:
 
 @contextmanager
 def _shuffles_end(spark: SparkSession):
-    """Spark removes the shuffle files of a write as soon as the write has ended."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+    """Spark removes the shuffle files of a write as soon as the write has ended, and sends Python small batches."""
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -65,6 +70,24 @@ def materialize_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
     return spark.table(unique)
 
 
+def lean(run):
+    """A function over batches that hands freed memory back to the system when its task ends: Python workers are used again, and
+    what each task has grown would stay with them."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def _written(spark: SparkSession, path: str, table_name: str | None = None) -> None:
     if not _WRITTEN:
         atexit.register(_clean)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import materialize, row_ids, table, unused
+from featherline.llm.common import lean, materialize, row_ids, table, unused
 
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MULTIPLY = 0x9E3779B97F4A7C15
@@ -117,13 +117,13 @@ def hits(docs: DataFrame, items: DataFrame, *, window: int = 10, k: int = 6, doc
         return run
 
     schema = f"rid long, id long, n_words long, marks array<{_MARK}>"
-    own_items = materialize(items.select(F.col(item_id).cast("long"), F.col(item_text)).mapInArrow(mark(None, None), schema), "benchmark")
+    own_items = materialize(items.select(F.col(item_id).cast("long"), F.col(item_text)).mapInArrow(lean(mark(None, None)), schema), "benchmark")
     item_marks = own_items.select(F.col("id").alias("item_id"), F.explode("marks").alias("i")).select("item_id", "i.*")
     short = sorted(r.n_words for r in own_items.filter((F.col("n_words") < window) & (F.col("n_words") > 0)).select("n_words").distinct().collect())
     distinct = item_marks.select("h").distinct()
     few = item_marks.count() <= MOST_SENT
     sent = np.sort(np.array([r.h for r in distinct.collect()], np.int64).view(np.uint64)) if few else None
-    texts = materialize(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(mark(sent, short), schema), "doc-marks")
+    texts = materialize(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(lean(mark(sent, short)), schema), "doc-marks")
     found = texts.select("rid", F.explode("marks").alias("d")).select("rid", *[F.col(f"d.{c}").alias(c) for c in ("h", "size", "pos", "gram", "left", "right")])
     of_items = item_marks.select("item_id", F.col("h").alias("ih"), F.col("size").alias("isize"), F.col("gram").alias("igram"), F.col("left").alias("ileft"), F.col("right").alias("iright"))
     if few:

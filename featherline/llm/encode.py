@@ -24,7 +24,7 @@ class Encoder(dict):
     may be cut there and each part encoded alone. Texts with other spaces are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 100_000):
         import tiktoken
 
         self.most = most

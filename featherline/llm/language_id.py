@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import fold, table
+from featherline.llm.common import fold, lean, table
 
 SPACE = 1 << 16  # hashed n-grams
 _OTHER = re.compile(r"[\W\d_]+")
@@ -118,7 +118,7 @@ def fit(train: DataFrame, *, text: str = "text", lang: str = "lang", key: str =
         yield pa.record_batch({"gram": at.astype(np.int32), "n": df[at]})
 
     df = np.zeros(SPACE + 1)
-    for r in rows.select("text").mapInArrow(frequencies, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():  # at most SPACE + 1 rows
+    for r in rows.select("text").mapInArrow(lean(frequencies), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():  # at most SPACE + 1 rows
         df[r.gram] = r.n
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
@@ -134,7 +134,7 @@ def fit(train: DataFrame, *, text: str = "text", lang: str = "lang", key: str =
                     out.append({"u": k, "lang": name, "idx": i.tobytes(), "tf": (c / c.sum()).astype(np.float32).tobytes()})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("u", pa.float64()), ("lang", pa.string()), ("idx", pa.binary()), ("tf", pa.binary())]))
 
-    sample = sorted(rows.withColumn("u", u).filter(F.col("u") < share).select("u", "lang", "text").mapInArrow(vectors, "u double, lang string, idx binary, tf binary").collect(), key=lambda r: (r.u, r.lang, bytes(r.idx)))
+    sample = sorted(rows.withColumn("u", u).filter(F.col("u") < share).select("u", "lang", "text").mapInArrow(lean(vectors), "u double, lang string, idx binary, tf binary").collect(), key=lambda r: (r.u, r.lang, bytes(r.idx)))
     scale = 30.0  # relative frequencies are small
     ex = [(np.frombuffer(r.idx, np.uint16).astype(np.int64), np.frombuffer(r.tf, np.float32).astype(float)) for r in sample]
     ex = [(i, v * idf[i] * scale) for i, v in ex]
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: tuple[st
             found = [model_.predict(x.as_py()) for x in b.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, F.col(text)).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text)).mapInArrow(lean(run), schema)
 
 
 def keep_known(docs: DataFrame, model: Model, *, text: str = "text", least: float = 0.4) -> DataFrame:
@@ -171,7 +171,7 @@ def keep_known(docs: DataFrame, model: Model, *, text: str = "text", least: floa
                 keep.append(lang != "und" and p >= least if model_.langs else len(grams(x.as_py())) > 0)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import materialize, row_ids, table, unused
+from featherline.llm.common import lean, materialize, row_ids, table, unused
 from featherline.llm.decontaminate import WordHashes, contract_words, gram_hashes
 
 #: Up to so many ids or nodes are sent to all tasks (16 MB); more are joined by a shuffle.
@@ -127,7 +127,7 @@ def join(docs: DataFrame, *, threshold: float = 0.8, n: int = 5, trees: int = 16
     """
     forest = Forest(trees, deepest)
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("th"))
-    base = materialize(docs.mapInArrow(_describer(forest, n), "rid long, doc_id long, th long, digest binary, sig binary, n_sh int"), "forest-rows")
+    base = materialize(docs.mapInArrow(lean(_describer(forest, n)), "rid long, doc_id long, th long, digest binary, sig binary, n_sh int"), "forest-rows")
     texts = base.filter("digest is not null").groupBy("digest").agg(F.min(F.when(F.col("sig").isNotNull(), F.col("rid"))).alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"))
     texts = materialize(texts, "forest-texts")
     reps = texts.select(F.col("rep").alias("rid"))
@@ -214,7 +214,7 @@ def _level(docs: DataFrame, held: DataFrame, forest: Forest, depth: int, before:
                 x = b.slice(i, 500)
                 yield pa.RecordBatch.from_arrays([x.column(0), pa.array([shingles(y.as_py(), seen, n).tobytes() for y in x.column(1)], pa.binary())], names=["rid", "sh"])
 
-    return _compare(dealt.join(some.mapInArrow(sets, "rid long, sh binary"), "rid"), threshold)
+    return _compare(dealt.join(some.mapInArrow(lean(sets), "rid long, sh binary"), "rid"), threshold)
 
 
 def _forest(pairs: np.ndarray, m: int) -> list[tuple[int, int]]:
@@ -305,7 +305,7 @@ def _compare(members: DataFrame, threshold: float) -> DataFrame:
             yield done()
         yield pa.RecordBatch.from_pylist([{"sims": sims.tolist()}], out)
 
-    return cut.mapInArrow(run, "a long, b long, n long, sims array<long>")
+    return cut.mapInArrow(lean(run), "a long, b long, n long, sims array<long>")
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

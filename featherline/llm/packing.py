@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import row_ids, table
+from featherline.llm.common import lean, row_ids, table
 from featherline.llm.encode import default_path, encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
@@ -133,7 +133,7 @@ def pack(docs: DataFrame, *, size: int = 1024, sentence_penalty: float = 4.0, in
         if held and (out := flush(True)) is not None:
             yield out
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(lean(run), SCHEMA)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import fold, materialize, table
+from featherline.llm.common import fold, lean, materialize, table
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -36,7 +36,7 @@ class Matcher(dict):
     Words hold no white space, so a text may be cut there.
     """
 
-    def __init__(self, terms: list[str], most: int = 200_000):
+    def __init__(self, terms: list[str], most: int = 80_000):
         self.words, self.begin = ({t.rstrip("*"): i for i, t in enumerate(terms) if t.endswith("*") == y} for y in (False, True))
         self.terms, self.most, self.begin4 = len(terms), most, {t[:4] for t in self.begin}
         self.several: list[list[int]] = []
@@ -204,7 +204,7 @@ class Index:
         w = self.stand_for[n] / (0.02 + np.maximum(0, 1 - s))
         return float(w @ self.label[n] / w.sum())
 
-    def scorer(self, most: int = 20_000, together: int = 64):
+    def scorer(self, most: int = 2_000, together: int = 64):
         """A function of some texts: (score, neighbours, cosines, telling terms found) of each. Some thousand copies are remembered."""
         m, known = Matcher(self.terms), {}
 
@@ -277,7 +277,7 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
                     yield flush()
         yield flush()
 
-    seen = rows.select("y", "text").mapInArrow(count, "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    seen = rows.select("y", "text").mapInArrow(lean(count), "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     seen = materialize(seen, "terms")
     share = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for y, n in n_of.items() for v in (y, min(1.0, examples_a_class / n))]), F.col("y")), F.lit(0.0)) if n_of else F.lit(0.0)
     u = F.pmod(F.xxhash64("key", F.lit("example")), F.lit(1 << 30)) / float(1 << 30)
@@ -290,7 +290,7 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
     drawn = rows.withColumn("u", u).filter(F.col("u") < share)
     keys = {r.key for r in drawn.select("key").collect()}  # known first, so that a join below reads no other texts
     named = F.col("key").isin(list(keys - {None}))
-    drawn = drawn.filter(named | F.col("key").isNull() if None in keys else named).select("u", "key", "y", "text").mapInArrow(words_of, "u double, key long, y int, w array<string>, c array<int>")
+    drawn = drawn.filter(named | F.col("key").isNull() if None in keys else named).select("u", "key", "y", "text").mapInArrow(lean(words_of), "u double, key long, y int, w array<string>, c array<int>")
     drawn = materialize(drawn, "examples")
 
     tells = (F.col("toxic") >= support) & (F.col("toxic") >= precision * F.col("n"))
@@ -330,7 +330,7 @@ def score(docs: DataFrame, index: Index, *, text: str = "text", keep: tuple[str,
             cols = list(zip(*of(b.column(len(keep)).to_pylist()), strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.list_(pa.float32())), pa.array(cols[3], pa.list_(pa.string()))], names=[*keep, "score", "neighbours", "cosines", "terms"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(lean(run), schema)
 
 
 def keep_clean(docs: DataFrame, index: Index, *, text: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -344,7 +344,7 @@ def keep_clean(docs: DataFrame, index: Index, *, text: str = "text", threshold:
             keep = [found[0] < threshold for i in range(0, b.num_rows, 512) for found in of(b.column(at).slice(i, 512).to_pylist())]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
