@@ -78,16 +78,21 @@ def lean(run):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            hand_back()
 
     return wrapped
 
 
+def hand_back() -> None:
+    """Freed memory goes back to the system, here or in the driver."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def _written(spark: SparkSession, path: str, table_name: str | None = None) -> None:
     if not _WRITTEN:
         atexit.register(_clean)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherline.llm.common import fold, lean, materialize, table
+from featherline.llm.common import fold, hand_back, lean, materialize, table
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -100,28 +100,52 @@ class Postings:
     """Weights of terms in examples, in blocks of examples.
 
     A term that at least one in 48 examples hold has a column of all its weights. Any other term has entries by example, and
-    runs of them that share a block, with the greatest weight of each.
+    runs of them that share a block, with the greatest weight of each. Pickled, only weights above 0 are kept, and the rest is
+    made of them again.
     """
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int):
-        term = np.concatenate([np.empty(0, int), *(i for i, _ in vectors)])
-        example = np.repeat(np.arange(len(vectors)), [len(i) for i, _ in vectors])
-        weight = np.concatenate([np.empty(0), *(v for _, v in vectors)]).astype(np.float32)
-        self.examples, self.block, self.blocks = len(vectors), block, -(-len(vectors) // block)
-        often = np.flatnonzero(48 * np.bincount(term, minlength=terms) >= max(48, self.examples))
-        self.column = np.full(terms, -1)
+    def __init__(self, vectors: Iterable[tuple[np.ndarray, np.ndarray]], terms: int, block: int):
+        vectors = [(i.astype(np.int32), v.astype(np.float32)) for i, v in vectors]
+        term = np.concatenate([np.empty(0, np.int32), *(i for i, _ in vectors)])
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(i) for i, _ in vectors])
+        weight = np.concatenate([np.empty(0, np.float32), *(v for _, v in vectors)])
+        examples = len(vectors)
+        del vectors
+        n = np.bincount(term, minlength=terms)
+        often = np.flatnonzero(48 * n >= max(48, examples))
+        in_column = np.zeros(terms, bool)
+        in_column[often] = True
+        order = np.argsort(term, kind="stable")  # examples rise already
+        in_column = in_column[term[order]]
+        del term
+        at, rest = order[in_column], order[~in_column]
+        del order, in_column
+        column_n, n[often] = n[often], 0
+        state = examples, block, often, column_n, example[at], weight[at], n, example[rest], weight[rest]
+        del at, rest, example, weight
+        self.__setstate__(state)
+
+    def __getstate__(self) -> tuple:
+        of, example = np.nonzero(self.columns.T)
+        often = np.flatnonzero(self.column >= 0)
+        n = np.diff(self.run_at[self.run_start]).astype(np.int32)
+        return self.examples, self.block, often, np.bincount(of, minlength=len(often)), example.astype(np.int32), self.columns[example, of], n, self.at, self.weight
+
+    def __setstate__(self, state: tuple) -> None:
+        self.examples, self.block, often, column_n, example, weight, n, self.at, self.weight = state
+        self.blocks = -(-self.examples // self.block)
+        self.column = np.full(len(n), -1)
         self.column[often] = np.arange(len(often))
-        self.columns = np.zeros((self.blocks * block, len(often)), np.float32)
-        in_column = self.column[term] >= 0
-        self.columns[example[in_column], self.column[term[in_column]]] = weight[in_column]
-        term, example, weight = (x[~in_column] for x in (term, example, weight))
-        order = np.lexsort((example, term))
-        term, self.at, self.weight = term[order], example[order], weight[order]
-        run = term * max(1, self.blocks) + self.at // block
-        first = np.flatnonzero(np.diff(run, prepend=-1))
-        self.run_at, self.run_block = np.append(first, len(run)), self.at[first] // block
+        self.columns = np.zeros((self.blocks * self.block, len(often)), np.float32)
+        for c, b in enumerate(np.cumsum(column_n).tolist()):
+            of = slice(b - int(column_n[c]), b)
+            self.columns[example[of], c] = weight[of]
+        block = self.at // self.block
+        term = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        self.run_at, self.run_block = np.append(first, len(self.at)), block[first]
         self.run_most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
-        self.run_start = np.searchsorted(term[first], np.arange(terms + 1))
+        self.run_start = np.searchsorted(term[first], np.arange(len(n) + 1))
 
 
 @dataclass
@@ -144,6 +168,12 @@ class Index:
     k: int = 15
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0]), np.array([0.0])))
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"terms": "\n".join(self.terms)}  # every task gets it
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state | {"terms": state["terms"].split("\n") if state["terms"] else []}
+
     def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         i, n = counts
         v = (1 + np.log(n)) * self.weight[i]
@@ -296,21 +326,29 @@ def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", key: str =
     tells = (F.col("toxic") >= support) & (F.col("toxic") >= precision * F.col("n"))
     of_examples = drawn.select(F.explode("w").alias("term")).distinct().withColumn("held", F.lit(True))
     got_terms = seen.join(of_examples, "term", "left").select("term", "n", tells.alias("tells"), "held").filter("tells or held").select("term", "n", "tells").toArrow()
-    order = sorted(zip(got_terms["term"].to_pylist(), got_terms["n"].to_pylist(), got_terms["tells"].to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
-    terms, total, telling = [r[0] for r in order], sum(n_of.values()), np.array([r[2] for r in order], bool)
-    weight = (np.log((1 + total) / (1 + np.array([r[1] for r in order], float))) + 1) * np.where(telling, 1.0, plain)
+    got_terms = got_terms.sort_by([("n", "descending"), ("term", "ascending")])
+    terms, total, telling = got_terms["term"].to_pylist(), sum(n_of.values()), got_terms["tells"].to_numpy().astype(bool)
+    weight = (np.log((1 + total) / (1 + got_terms["n"].to_numpy().astype(float))) + 1) * np.where(telling, 1.0, plain)
+    del got_terms
     number, rows_ = Matcher(terms), drawn.toArrow()  # bounded by the sample
 
     counts = [number.counts(w.as_py(), np.array(c.as_py(), np.int64)) for w, c in zip(rows_["w"], rows_["c"], strict=True)]
     got = list(zip(*(rows_[x].to_pylist() for x in ("u", "key", "y")), strict=True))
+    del number, rows_
+    hand_back()  # here and below: else the driver would keep what each step has grown
     like = [(i[telling[i]][:8].tolist(), i[:8].tolist()) for i, _ in counts]  # examples that share telling terms, then the commonest words, share blocks, so bounds are tight
     order = sorted(range(len(got)), key=lambda n: (like[n], got[n][0], got[n][1] is None, got[n][1] or 0, got[n][2], counts[n][0].tobytes(), counts[n][1].tobytes()))
     got, counts, n_drawn = [got[n] for n in order], [counts[n] for n in order], Counter(y for _, _, y in got)
     index = Index(terms, telling, weight, None, np.array([y for _, _, y in got], float), np.array([n_of[y] / n_drawn[y] for _, _, y in got], float), np.array([-1 if k is None else k for _, k, _ in got], np.int64))
-    index.postings = Postings([index.vector(c) for c in counts], len(terms), index.block)
+    del like, order
+    hand_back()
+    index.postings = Postings(map(index.vector, counts), len(terms), index.block)
+    hand_back()
     if got:
         raw = np.array([index.vote(n, s) for a in range(0, len(counts), 64) for n, s in index.nearest(counts[a : a + 64], list(range(a, min(a + 64, len(counts)))))])
         index.steps = isotonic(raw, index.label, index.stand_for)
+    del counts
+    hand_back()
     return index
 
 

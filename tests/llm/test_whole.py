@@ -1,8 +1,10 @@
 """Jobs done whole, where an earlier round cut them short."""
 
 import itertools
+import pickle
 import random
 
+import numpy as np
 import pytest
 
 from featherline.llm import lsh_forest, packing, token_counts, toxicity
@@ -45,6 +47,39 @@ def test_labels_beyond_those_sent(spark, small, monkeypatch):
     assert sorted(toxicity.labelled(docs, labels).collect()) == one
 
 
+def test_postings_are_sent_without_zeros():
+    """The pipeline's driver had no room left for what all tasks get: zeros of columns and all that can be made again."""
+    r = np.random.default_rng(5)
+    vectors = [(np.unique(np.minimum(r.integers(0, 20_000, 300), r.integers(0, 20_000, 300))), r.random(300)) for _ in range(1000)]
+    vectors = [(i, v[: len(i)]) for i, v in vectors] + [(np.empty(0, int), np.empty(0))]
+    entries = sum(len(i) for i, _ in vectors)
+    one = toxicity.Postings(vectors, 20_000, 64)
+    sent = pickle.dumps(one)
+    assert len(sent) < 9 * entries + 8 * 20_000 + 10_000
+    two = pickle.loads(sent)
+    assert vars(one).keys() == vars(two).keys() and all(np.array_equal(x, vars(two)[k]) for k, x in vars(one).items())
+    dense = np.zeros((two.blocks * 64, 20_000), np.float32)
+    for n, (i, v) in enumerate(vectors):
+        dense[n, i] = v
+    has = two.column >= 0
+    assert has.any() and np.array_equal(two.columns, dense[:, has]) and np.array_equal(has, 48 * (dense > 0).sum(0) >= 1001)
+    term = np.repeat(np.repeat(np.arange(20_000), np.diff(two.run_start)), np.diff(two.run_at))
+    dense[:, has] = 0
+    assert len(term) == (dense > 0).sum() and np.array_equal(dense[two.at, term], two.weight)
+    assert np.array_equal(two.run_most, [two.weight[a:b].max() for a, b in itertools.pairwise(two.run_at)])
+    assert all((two.at[a:b] // 64 == n).all() for a, b, n in zip(two.run_at, two.run_at[1:], two.run_block, strict=False))
+
+
+def test_index_is_the_same_after_sending(spark):
+    rows = [(i, f"plain words of row {'abcdefghij'[i % 10] * 3}" + " zorkblatt" * (i % 3 == 0), int(i % 3 == 0)) for i in range(90)]
+    for some in (rows, []):
+        one = toxicity.fit(spark.createDataFrame(some, "doc_id long, text string, toxic int"))
+        two = pickle.loads(pickle.dumps(one))
+        assert one.terms == two.terms and not hasattr(two.terms, "encode")
+        asked = [x for _, x, _ in rows[:12]] + ["", None, "zorkblatt"]
+        assert one.scorer()(asked) == two.scorer()(asked)
+
+
 # similarity
 
 
