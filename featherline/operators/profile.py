@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, MapType, StructType
 
 from featherline.operators.store import size_checked
 
@@ -14,25 +18,46 @@ def unpivot(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return v.withColumn("value", F.when(~F.isnan("value") & (F.abs("value") != float("inf")), F.col("value")))
 
 
-def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], ranges: int = 256) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], ranges: int = 256, most: int = 1 << 20) -> DataFrame:
     """by, q: the exact quantiles of each group, interpolated between neighbours as usual; null values don't count.
 
-    Distinct values are counted first. A sketch a group cuts them into ranges of about as many, the ranges' totals tell which
-    of them hold the ranks that are asked for, and only values of those ranges are sorted, a range a task. So no task holds or
-    sorts a group. Nulls are groups of their own.
+    Groups of at most `most` rows are counted by value and summed up in order, a group a task. For larger groups a sketch
+    brackets each rank by a range of about 1/ranges of the rows, the ranges' totals tell which of them hold the ranks, and
+    only rows of those are counted and sorted, a range a task. Sketch and totals are collected first (rows / `most` groups
+    at most): a sketch depends on the order of its rows, so a plan that evaluates it twice may get two cuts of one group.
+    Nulls are groups of their own.
     """
     g = F.struct(*by) if by else F.struct(F.lit(1).alias("all"))
-    v = df.filter(F.col(value).isNotNull()).select(g.alias("_g"), F.col(value).cast("double").alias("_v")).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    sketch = size_checked(v.groupBy("_g").agg(F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 20 * ranges).alias("_b"), F.sum("_n").alias("_m")))
-    placed = v.join(sketch, "_g").select("_g", "_v", "_n", "_m", F.size(F.filter("_b", lambda x: x < F.col("_v"))).alias("_r"))
-    totals = placed.groupBy("_g", "_r").agg(F.sum("_n").alias("_k"), F.first("_m").alias("_m"))
-    totals = totals.withColumn("_before", F.sum("_k").over(Window.partitionBy("_g").orderBy("_r")) - F.col("_k"))  # at most `ranges` rows a group
+    v = df.filter(F.col(value).isNotNull()).select(g.alias("_g"), F.col(value).cast("double").alias("_v"))
+    key = v.schema["_g"].dataType
+    ranks = lambda m: [(2 * i + j, f(p * (m - 1))) for i, p in enumerate(probs) for j, f in enumerate((math.floor, math.ceil))]
+    row = StructType().add("_g", key).add("_m", "long").add("_b", ArrayType(DoubleType())).add("_before", MapType(IntegerType(), LongType()))
+    sent = lambda rows: F.broadcast(df.sparkSession.createDataFrame(rows, row))
+    large = [(x["_g"], x["_m"]) for x in v.groupBy("_g").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > most).collect()]
+    range_of = F.coalesce(F.size(F.filter("_b", lambda x: x < F.col("_v"))), F.lit(0))
+    if large:
+        around = sorted({min(1.0, max(0.0, p + d / (2 * ranges))) for p in probs for d in (-1, 1)})
+        cuts = v.join(sent([(k, m, None, None) for k, m in large]).select("_g"), "_g", "left_semi").groupBy("_g").agg(F.percentile_approx("_v", around, 20 * ranges).alias("_b"))
+        cut = {repr(x["_g"]): sorted(set(x["_b"])) for x in cuts.collect()}
+        placed = v.join(sent([(k, m, cut[repr(k)], None) for k, m in large]), "_g").groupBy("_g", range_of.alias("_r")).agg(F.count(F.lit(1)).alias("_k"))
+        held: dict = {}
+        for x in placed.collect():
+            held.setdefault(repr(x["_g"]), {})[x["_r"]] = x["_k"]
+        asked = []
+        for k, m in large:
+            n = held[repr(k)]
+            before = dict(zip(sorted(n), accumulate([n[r] for r in sorted(n)], initial=0)))
+            asked.append((k, m, cut[repr(k)], {r: b for r, b in before.items() if any(b <= rank < b + n[r] for _, rank in ranks(m))}))
+        v = v.join(sent(asked), "_g", "left").withColumn("_r", range_of).filter(F.col("_m").isNull() | F.map_contains_key("_before", F.col("_r")))
+        v = v.select("_g", "_r", "_v", "_m", F.coalesce(F.try_element_at("_before", F.col("_r")), F.lit(0)).alias("_before"))
+    else:
+        v = v.select("_g", F.lit(0).alias("_r"), "_v", F.lit(None).cast("long").alias("_m"), F.lit(0).cast("long").alias("_before"))
+    w = Window.partitionBy("_g", "_r")
+    counted = v.groupBy("_g", "_r", "_v").agg(F.count(F.lit(1)).alias("_n"), F.max("_m").alias("_m"), F.max("_before").alias("_before"))
+    summed = counted.withColumns({"_m": F.coalesce("_m", F.sum("_n").over(w)), "_upto": F.sum("_n").over(w.orderBy("_v")) + F.col("_before")})
     at = lambda p: F.lit(float(p)) * (F.col("_m") - 1)
-    ranks = F.array(*[F.struct(F.lit(2 * i + j).alias("i"), f(at(p)).cast("long").alias("rank")) for i, p in enumerate(probs) for j, f in enumerate((F.floor, F.ceil))])
-    asked = totals.select("_g", "_r", "_m", "_before", F.filter(ranks, lambda x: (x["rank"] >= F.col("_before")) & (x["rank"] < F.col("_before") + F.col("_k"))).alias("_asked")).filter(F.size("_asked") > 0)
-    some = placed.select("_g", "_v", "_n", "_r").join(size_checked(asked), ["_g", "_r"])
-    upto = F.sum("_n").over(Window.partitionBy("_g", "_r").orderBy("_v")) + F.col("_before")
-    found = some.withColumn("_upto", upto).select("_g", "_m", "_v", F.explode(F.filter("_asked", lambda x: (x["rank"] < F.col("_upto")) & (x["rank"] >= F.col("_upto") - F.col("_n")))["i"]).alias("_i"))
+    wanted = F.array(*[F.struct(F.lit(2 * i + j).alias("i"), f(at(p)).cast("long").alias("rank")) for i, p in enumerate(probs) for j, f in enumerate((F.floor, F.ceil))])
+    found = summed.select("_g", "_m", "_v", F.explode(F.filter(wanted, lambda x: (x["rank"] < F.col("_upto")) & (x["rank"] >= F.col("_upto") - F.col("_n")))["i"]).alias("_i"))
     of = found.groupBy("_g").agg(F.first("_m").alias("_m"), F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_q"))  # two entries a quantile
     low = lambda i: F.element_at("_q", F.lit(2 * i))
     q = [low(i) + (at(p) - F.floor(at(p))) * (F.element_at("_q", F.lit(2 * i + 1)) - low(i)) for i, p in enumerate(probs)]

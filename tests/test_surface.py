@@ -124,3 +124,17 @@ def test_quantiles_against_numpy(spark):
         for k, q in got.items():
             assert q == pytest.approx(np.quantile([v for x, v in rows if x == k and v is not None], probs).tolist())
     assert P.quantiles(spark.createDataFrame([], "k string, v double"), ["k"], "v", probs).count() == 0
+
+
+def test_quantiles_of_large_groups_in_any_order(spark):
+    r = np.random.default_rng(6)
+    v = r.exponential(50.0, 40000)
+    probs = [0.1, 0.5, 0.9]
+    df = spark.createDataFrame([("a" if i % 3 else None, float(x)) for i, x in enumerate(v)] + [("few", float(x)) for x in range(7)], "k string, v double").repartition(16)
+    q = P.quantiles(df, ["k"], "v", probs, 32, 1000)
+    assert "percentile_approx" not in q._jdf.queryExecution().optimizedPlan().toString()  # its cuts differ from one evaluation to the next
+    want = {"a": v[np.arange(len(v)) % 3 > 0], None: v[::3], "few": np.arange(7.0)}
+    got = {x.k: x.q for x in q.collect()}
+    assert set(got) == set(want)
+    for k, x in want.items():
+        assert got[k] == pytest.approx(np.quantile(x, probs).tolist(), rel=1e-12)
