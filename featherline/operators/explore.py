@@ -32,7 +32,7 @@ def quadrant(df: DataFrame, id_column: str, x_plus: str, x_minus: str, y_plus: s
 def radar(df: DataFrame, id_column: str, features: list[str], row_id: int) -> DataFrame:
     """feature, value, mean: one row's and the table's place between the 1st and 99th percentile, clamped to [0, 1]."""
     v = df.select(id_column, *[F.col(f).cast("double").alias(f) for f in features]).unpivot([id_column], features, "feature", "v")
-    s = with_quantiles(v.groupBy("feature").agg(F.avg("v").alias("m"), F.max(F.when(F.col(id_column) == row_id, F.col("v"))).alias("v")), quantiles(v, ["feature"], "v", [0.01, 0.99]), ["feature"])
+    s = with_quantiles(v.groupBy("feature").agg(F.avg("v").alias("m"), F.max(F.when(F.col(id_column) == row_id, F.col("v"))).alias("v")), quantiles(v, ["feature"], "v", [0.01, 0.99]), ["feature"], each=True)
     place = lambda c: clamp(min_max(F.col(c), F.col("q")[0], F.col("q")[1]), 0.0, 1.0)
     return s.select("feature", place("v").alias("value"), place("m").alias("mean"))
 

@@ -11,6 +11,9 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, MapT
 
 from featherline.operators.store import size_checked
 
+#: Groups whose quantiles are sent to all tasks.
+MOST_GROUPS_SENT = 200_000
+
 
 def unpivot(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     """keys, feature, value: one row a feature, values as doubles; NaN and infinities become null."""
@@ -34,9 +37,9 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], rang
     row = StructType().add("_g", key).add("_m", "long").add("_b", ArrayType(DoubleType())).add("_before", MapType(IntegerType(), LongType()))
     sent = lambda rows: F.broadcast(df.sparkSession.createDataFrame(rows, row))
     large = [(x["_g"], x["_m"]) for x in v.groupBy("_g").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > most).collect()]
-    range_of = F.coalesce(F.size(F.filter("_b", lambda x: x < F.col("_v"))), F.lit(0))
+    around = sorted({min(1.0, max(0.0, p + d / (2 * ranges))) for p in probs for d in (-1, 1)})
+    range_of = sum((F.coalesce((F.get("_b", F.lit(i)) < F.col("_v")).cast("int"), F.lit(0)) for i in range(len(around))), F.lit(0))
     if large:
-        around = sorted({min(1.0, max(0.0, p + d / (2 * ranges))) for p in probs for d in (-1, 1)})
         cuts = v.join(sent([(k, m, None, None) for k, m in large]).select("_g"), "_g", "left_semi").groupBy("_g").agg(F.percentile_approx("_v", around, 20 * ranges).alias("_b"))
         cut = {repr(x["_g"]): sorted(set(x["_b"])) for x in cuts.collect()}
         placed = v.join(sent([(k, m, cut[repr(k)], None) for k, m in large]), "_g").groupBy("_g", range_of.alias("_r")).agg(F.count(F.lit(1)).alias("_k"))
@@ -64,10 +67,15 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], rang
     return of.select(*[F.col(f"_g.{c}").alias(c) for c in by], F.array(*q).alias("q"))
 
 
-def with_quantiles(df: DataFrame, of: DataFrame, by: list[str]) -> DataFrame:
-    """df with the q of its group, null where it has none; null keys meet."""
-    other = size_checked(of.select(*[F.col(c).alias(f"_q_{c}") for c in by], "q"))
+def with_quantiles(df: DataFrame, of: DataFrame, by: list[str], each: bool = False) -> DataFrame:
+    """df with the q of its group, null where it has none; null keys meet. each: df has one row a group.
+
+    Otherwise groups are counted first, as no estimate tells how few rows quantiles has: they are sent to all tasks while they
+    are few, because a join by group would put each group's rows into one task."""
+    other = of.select(*[F.col(c).alias(f"_q_{c}") for c in by], "q")
     keys = [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in by]
+    if by and not each and df.agg(F.approx_count_distinct(F.struct(*by))).first()[0] <= MOST_GROUPS_SENT:
+        other = F.broadcast(other)
     return (df.join(other, keys, "left") if by else df.crossJoin(F.broadcast(other))).select(*df.columns, "q")
 
 

@@ -39,7 +39,7 @@ def loudness_range(blocks: DataFrame, key: str, level: str) -> DataFrame:
 def timing_stats(df: DataFrame, key: str, value: str) -> DataFrame:
     """n, mean, population deviation, 10th and 90th percentile and sum."""
     g = df.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.sum(value).alias("sum"))
-    return with_quantiles(g, quantiles(df, [key], value, [0.1, 0.9]), [key]).select(key, "n", "mean", "std", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p90"), "sum")
+    return with_quantiles(g, quantiles(df, [key], value, [0.1, 0.9]), [key], each=True).select(key, "n", "mean", "std", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p90"), "sum")
 
 
 def weighted_share(rows: DataFrame, key: str, on: Column, weight: Column) -> DataFrame:

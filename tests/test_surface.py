@@ -138,3 +138,12 @@ def test_quantiles_of_large_groups_in_any_order(spark):
     assert set(got) == set(want)
     for k, x in want.items():
         assert got[k] == pytest.approx(np.quantile(x, probs).tolist(), rel=1e-12)
+
+
+def test_outliers_are_not_shuffled_by_group(spark):
+    rows = [(i, "ab"[i % 2] if i % 7 else None, float(i % 50)) for i in range(2000)] + [(2000, "a", 500.0), (2001, None, -500.0), (2002, "one", 1.0)]
+    df = spark.createDataFrame(rows, "i int, k string, v double")
+    found = P.iqr_outliers(df, "v", ["k"], ["i"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [coalesce(k" in plan and "SortMergeJoin" not in plan
+    assert sorted(x.i for x in found.collect()) == [2000, 2001]
