@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featherline.functions import names as N
@@ -36,22 +36,20 @@ def _preferred(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def stem_files(files: DataFrame, full_mix: bool = False) -> DataFrame:
-    """(folder, stem, path) of the stems of folders that have a full mix, one file a stem."""
-    a = _audio(files)
-    wanted = [*N.STEMS, *N.DRUM_STEMS, *(["full_mix"] if full_mix else [])]
-    return _preferred(a.filter(F.col("stem").isin(*wanted)).join(organized_any(a), "folder", "left_semi"), "folder", "stem")
-
-
-def organized_any(audio: DataFrame) -> DataFrame:
-    return audio.filter(F.col("stem") == "full_mix").select("folder").distinct()
+    """(folder, stem, path) of the stems of folders that have a full mix, one file a stem. The listing is read once."""
+    best = _preferred(_audio(files).filter(F.col("stem").isin(*N.STEMS, *N.DRUM_STEMS, "full_mix")), "folder", "stem")
+    organized = F.bool_or(F.col("stem") == "full_mix").over(Window.partitionBy("folder"))  # at most a row a stem
+    found = best.withColumn("_o", organized).filter("_o").drop("_o")
+    return found if full_mix else found.filter(F.col("stem") != "full_mix")
 
 
 def crop_stem_files(files: DataFrame) -> DataFrame:
-    """(crop, stem, path) of the stems that lie beside a crop: its name, _ and the stem's."""
-    a = _audio(files)
-    parts = a.withColumns({"part": F.substring_index("stem", "_", -1), "crop": F.regexp_replace("stem", "_[^_]*$", "")}).filter(F.col("part").isin(*N.STEMS))
-    crops = a.filter(N.is_crop(F.col("path"))).select("folder", F.col("stem").alias("crop")).distinct()
-    return _preferred(parts.join(crops, ["folder", "crop"], "left_semi"), "folder", "crop", "part").withColumnRenamed("part", "stem")
+    """(crop, stem, path) of the stems that lie beside a crop: its name, _ and the stem's. The listing is read once."""
+    is_crop = N.is_crop(F.col("path"))  # a crop's name ends in a number, so it is no stem
+    a = _audio(files).withColumns({"part": F.when(~is_crop, F.substring_index("stem", "_", -1)), "crop": F.when(is_crop, F.col("stem")).otherwise(F.regexp_replace("stem", "_[^_]*$", ""))})
+    best = _preferred(a.filter(F.col("part").isNull() | F.col("part").isin(*N.STEMS)), "folder", "crop", "part")
+    beside = F.bool_or(F.col("part").isNull()).over(Window.partitionBy("folder", "crop"))  # at most a row a stem and the crop's
+    return best.withColumn("_c", beside).filter(F.col("_c") & F.col("part").isNotNull()).drop("_c").withColumnRenamed("part", "stem")
 
 
 def sidecars(files: DataFrame, kinds: dict[str, str]) -> DataFrame:

@@ -27,7 +27,7 @@ _PARTS = FILES + r", f AS (SELECT path, length, regexp_replace(path, '/[^/]*$',
 
 def files(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "lineitem").join(read(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.selectExpr(f"'/lib/C' || (o_custkey % 40) || CASE WHEN o_custkey % 9 = 0 THEN '_3' ELSE '' END || '/' || {_KIND} AS path", "CAST(l_quantity AS BIGINT) AS length").groupBy("path").agg(F.max("length").alias("length"))
+    return rows.selectExpr(f"'/lib/C' || (o_custkey % 40) || CASE WHEN o_custkey % 9 = 0 THEN '_3' ELSE '' END || '/' || {_KIND} AS path", "CAST(l_quantity AS BIGINT) AS length").groupBy("path").agg(F.max("length").alias("length")).select(F.explode(F.array("path")).alias("path"), "length")  # conditions on a path stay above, not on each pair of rows joined
 
 
 @query("path_parts", f"WITH {_PARTS} SELECT path, folder, name, stem, kind, folder || '/' || regexp_extract(folder, '[^/]*$') || '.INFO' AS info, folder || '/' || stem || '.INFO' AS crop_info, TRY_CAST(regexp_extract(stem, '_([+-]?[0-9]+)$', 1) AS INTEGER) AS number, regexp_matches(stem, '_[+-]?[0-9]+$') AS is_crop, stem = 'full_mix' AS organized FROM f")

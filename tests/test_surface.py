@@ -10,9 +10,10 @@ from featherline.functions import arrays as A
 from featherline.functions import names as M
 from featherline.operators import events as E
 from featherline.operators import incremental as I
+from featherline.operators import listing as L
 from featherline.operators import profile as P
 from featherline.operators import series as Z
-from featherline.plans import models
+from featherline.plans import models, surface
 from featherline.streaming import ingest
 
 
@@ -147,3 +148,16 @@ def test_outliers_are_not_shuffled_by_group(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [coalesce(k" in plan and "SortMergeJoin" not in plan
     assert sorted(x.i for x in found.collect()) == [2000, 2001]
+
+
+def test_listings_are_read_once(spark, small):
+    names = ["A/full_mix.wav", "A/full_mix.flac", "A/drums.mp3", "A/drums.wav", "B/drums.wav", "A/S_1.wav", "A/S_1.mp3", "A/S_1_bass.ogg", "A/S_1_bass.wav", "A/S_1_kick.wav", "A/S_2_bass.ogg", "B/S_1_bass.wav", "A/S_1_bass.txt", "A/bass.wav"]
+    files = spark.createDataFrame([(f"/m/{n}",) for n in names], "path string")
+    stems, mixes, crops = L.stem_files(files), L.stem_files(files, full_mix=True), L.crop_stem_files(files)
+    a = {("/m/A", "drums", "/m/A/drums.wav"), ("/m/A", "bass", "/m/A/bass.wav")}
+    assert {tuple(r) for r in stems.collect()} == a and {tuple(r) for r in mixes.collect()} == a | {("/m/A", "full_mix", "/m/A/full_mix.flac")}
+    assert [tuple(r) for r in crops.select("folder", "crop", "stem", "path").collect()] == [("/m/A", "S_1", "bass", "/m/A/S_1_bass.wav")]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(stems).count("LogicalRDD") == plan(crops).count("LogicalRDD") == 1
+    for df in (surface.stem_files(spark, small), surface.crop_stem_files(spark, small), surface.midi_files(spark, small)):
+        assert [x.strip(" :+-") for x in plan(df).splitlines() if "Join" in x] and all("regexp" not in x and "RLIKE" not in x for x in plan(df).splitlines() if "Join" in x)
