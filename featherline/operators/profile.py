@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, MapType, StructType
 
-from featherline.operators.store import size_checked
-
 #: Groups whose quantiles are sent to all tasks.
 MOST_GROUPS_SENT = 200_000
 
@@ -81,15 +79,12 @@ def with_quantiles(df: DataFrame, of: DataFrame, by: list[str], each: bool = Fal
 
 def numeric_profile(long: DataFrame, by: list[str]) -> DataFrame:
     """count, mean, median, population deviation, range, quartiles, and how many values lie over 1.5 interquartile ranges outside.
-    Groups of all nulls give count 0 and nulls."""
-    s = long.groupBy(*by).agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    q = quantiles(long, by, "value", [0.25, 0.5, 0.75])
+    Groups of all nulls give count 0 and nulls. After the quantiles, one pass."""
+    rows = with_quantiles(long, quantiles(long, by, "value", [0.25, 0.5, 0.75]), by)
     iqr = F.col("q")[2] - F.col("q")[0]
     outside = (F.col("value") < F.col("q")[0] - 1.5 * iqr) | (F.col("value") > F.col("q")[2] + 1.5 * iqr)
-    far = with_quantiles(long, q, by).groupBy(*by).agg(F.count_if(outside).alias("_o"))
-    far = size_checked(far.select(*[F.col(c).alias(f"_o_{c}") for c in by], "_o"))
-    out = with_quantiles(s, q, by).join(far, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in by])
-    return out.select(*by, "count", "mean", F.col("q")[1].alias("median"), "min", "max", F.col("q")[0].alias("q1"), F.col("q")[2].alias("q3"), iqr.alias("iqr"), "std", F.col("_o").alias("outliers"), (100.0 * F.col("_o") / F.nullif(F.col("count"), F.lit(0))).alias("outlier_pct"))
+    s = rows.groupBy(*by).agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), *[F.max(F.col("q")[i]).alias(n) for i, n in enumerate(("q1", "median", "q3"))], F.count_if(outside).alias("outliers"))
+    return s.select(*by, "count", "mean", "median", "min", "max", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), "std", "outliers", (100.0 * F.col("outliers") / F.nullif(F.col("count"), F.lit(0))).alias("outlier_pct"))
 
 
 def iqr_outliers(df: DataFrame, value: str, by: list[str], keep: list[str]) -> DataFrame:

@@ -161,3 +161,15 @@ def test_listings_are_read_once(spark, small):
     assert plan(stems).count("LogicalRDD") == plan(crops).count("LogicalRDD") == 1
     for df in (surface.stem_files(spark, small), surface.crop_stem_files(spark, small), surface.midi_files(spark, small)):
         assert [x.strip(" :+-") for x in plan(df).splitlines() if "Join" in x] and all("regexp" not in x and "RLIKE" not in x for x in plan(df).splitlines() if "Join" in x)
+
+
+def test_numeric_profile_in_one_pass_after_its_quantiles(spark):
+    v = [float(i) for i in range(9)] + [100.0]
+    p = P.numeric_profile(spark.createDataFrame([("a", x) for x in v] + [("none", None), (None, 2.0)], "k string, value double"), ["k"])
+    assert p._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2  # once for the quantiles, once for the profile
+    got = {r.k: r for r in p.collect()}
+    a = got["a"]
+    assert (a["count"], a.median, a.min, a.max, a.q1, a.q3, a.iqr, a.outliers, a.outlier_pct) == (10, 4.5, 0.0, 100.0, 2.25, 6.75, 4.5, 1, 10.0)
+    assert a["mean"] == pytest.approx(np.mean(v)) and a["std"] == pytest.approx(np.std(v))
+    assert (got["none"]["count"], got["none"].median, got["none"].outliers, got["none"].outlier_pct) == (0, None, 0, None)
+    assert (got[None]["count"], got[None].median, got[None].iqr) == (1, 2.0, 0.0)
