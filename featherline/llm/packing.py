@@ -124,8 +124,8 @@ def pack(docs: DataFrame, *, size: int = 1024, sentence_penalty: float = 4.0, in
             return pa.RecordBatch.from_arrays([pa.array(cols[0], i64), pa.array(cols[1], i64), pa.array(lens, i64), pa.array(cols[3], i64), pa.array(cols[4], i64), pa.array(seqs, i64), pa.array(offset, i64), ids_], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
         for b in batches:
-            for key, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = np.append(enc.ids(x.as_py()), np.uint32(end_id)).astype("<u4")
+            for key, ids in zip(b.column(0).to_pylist(), enc.rows(b.column(1)), strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 held.append((key, 0, ids, len(ids)))
                 total += len(ids)
                 if total >= block and (out := flush(False)) is not None:

@@ -23,8 +23,8 @@ def encoded_lengths(docs: DataFrame, *, text: str = "text", tokenizer_path: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            n = np.fromiter((len(enc.ids(x.as_py())) for x in b.column(0)), np.int64, b.num_rows)
-            lengths, docs_ = np.unique(n, return_counts=True)
+            n = [counts for _, counts in enc.blocks(b.column(0))]
+            lengths, docs_ = np.unique(np.concatenate(n) if n else np.empty(0, np.int64), return_counts=True)
             yield pa.record_batch({"length": lengths, "n_docs": docs_.astype(np.int64)})
 
     return docs.select(F.col(text).alias("text")).mapInArrow(count, "length long, n_docs long").groupBy("length").agg(F.sum("n_docs").alias("n_docs"))

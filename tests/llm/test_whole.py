@@ -5,10 +5,11 @@ import pickle
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from featherline.llm import lsh_forest, packing, token_counts, toxicity
-from featherline.llm.encode import default_path, encoder
+from featherline.llm.encode import Encoder, default_path, encoder
 
 
 # toxicity
@@ -115,3 +116,31 @@ def test_added_tokens_in_packing_and_counts(spark):
     rows = spark.createDataFrame([(1, "a <|endoftext|> hi")], "doc_id long, text string")
     assert [(r.ids, r.doc_tokens) for r in packing.pack(rows).collect()] == [([64, 220, 50256, 23105, 0], 5)]
     assert [(r.length, r.n_docs) for r in token_counts.encoded_lengths(rows).collect()] == [(4, 1)]
+
+
+LOOSE = ["", None, " a", "a ", "a \x1c", " \x85b", "x ᠎ y", "a\n b\n\n c", "b 's 't", "\0 \0a b", "a <|endoftext|> a", "  a  b a", "a b a b"]
+
+
+@pytest.mark.parametrize("block", [1, 50, 1 << 22])
+@pytest.mark.parametrize("large", [False, True])
+def test_blocks_match_library(block, large):
+    """Texts of a column, odd spaces and repeated words among them, cut into blocks anywhere."""
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(default_path())
+    r = random.Random(block)
+    texts = LOOSE + ["".join(r.choices(" 's\n\t\xa0a\x1cé9²　日.!<́\r\x85  ab", k=r.randrange(30))) for _ in range(2000)]
+    want = [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+    enc = Encoder(default_path(), block)
+    assert [x.tolist() for x in enc.rows(pa.array(texts, pa.large_string() if large else pa.string()))] == want
+    assert [n for _, counts in enc.blocks(pa.array(texts).slice(3)) for n in counts.tolist()] == [len(x) for x in want[3:]]
+    assert not list(enc.rows(pa.array([], pa.string()))) and [x.tolist() for x in enc.rows(pa.array([None], pa.string()))] == [[]]
+
+
+def test_words_are_encoded_once_a_block():
+    """120,000 different words, more than a memo of 100,000 parts held, twice over in the same order: each is encoded once."""
+    words = [f"w{i:06d}" for i in range(120_000)]
+    texts = ["the " + " ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    enc = Encoder(default_path())
+    want, seen, encode = [enc.ids(x).tolist() for x in texts], [], enc.bpe.encode_ordinary
+    enc.bpe = type("Counts", (), {"encode_ordinary": lambda _, x: seen.append(x) or encode(x)})()
+    got = [x.tolist() for x in enc.rows(pa.array(texts * 2))]
+    assert got == want * 2 and sum(x.count(" ") for x in seen) == len(words) and len(seen) == 2 * len(texts) + 1
